@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from salesmart.config import EtlConfig
 from salesmart.plans import oracle as O
+from salesmart.plans import measures as M
 from salesmart.plans import views as V
 from salesmart.plans.warehouse import Warehouse, build_warehouse
 from salesmart.sources.raw import clean_raw
@@ -109,202 +110,274 @@ def q_fact_sales(spark, sf_dir):
 # V1–V9 analytics views
 # ----------------------------------------------------------------------------
 
+def _view_sql(cte: str) -> str:
+    return O.compose(O.CLEAN, [cte], f"SELECT * FROM {cte}")
+
+
 @register("vw_date", O.clean(" SELECT * FROM vw_date"))
 def q_vw_date(spark, sf_dir):
     return V.vw_date(clean_wh(spark, sf_dir).dim_date)
 
 
-_SALES_DAILY = """
-SELECT v.full_date, v.year, v.month, v.year_month, v.month_start, v.month_end,
-       CAST(COALESCE(SUM(f.final_revenue), 0) AS DOUBLE) AS daily_revenue,
-       CAST(COUNT(DISTINCT f.transaction_id) AS BIGINT) AS daily_orders
-FROM vw_date v LEFT JOIN fact f ON f.date_key = v.date_key
-GROUP BY v.full_date, v.year, v.month, v.year_month, v.month_start, v.month_end"""
-
-
-@register("sales_daily", O.clean(_SALES_DAILY))
+@register("sales_daily", _view_sql("daily"))
 def q_sales_daily(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.sales_daily(wh.dim_date, wh.fact)
 
 
-_CLV_CTE = """,
-as_of AS (SELECT MAX(d.full_date) AS as_of_date FROM fact f JOIN dim_date d ON d.date_key = f.date_key),
-base AS (
-  SELECT b.buyer_key, b.buyer_id, SUM(f.final_revenue) AS rev,
-         COUNT(DISTINCT f.transaction_id) AS orders,
-         MIN(d.full_date) AS first_purchase_date, MAX(d.full_date) AS last_purchase_date
-  FROM dim_buyer b
-  LEFT JOIN fact f ON f.buyer_key = b.buyer_key
-  LEFT JOIN dim_date d ON f.date_key = d.date_key
-  GROUP BY b.buyer_key, b.buyer_id
-),
-clv AS (
-  SELECT base.buyer_key, base.buyer_id,
-         CAST(COALESCE(rev, 0) AS DOUBLE) AS total_revenue,
-         CAST(COALESCE(orders, 0) AS BIGINT) AS total_orders,
-         CASE WHEN COALESCE(orders, 0) > 0 THEN CAST(rev AS DOUBLE) / CAST(orders AS DOUBLE) END
-           AS avg_order_value,
-         first_purchase_date, last_purchase_date,
-         CASE WHEN last_purchase_date IS NOT NULL
-              THEN CAST(as_of_date - last_purchase_date AS INTEGER) END AS days_since_last_purchase,
-         CASE WHEN COALESCE(orders, 0) = 0 THEN false
-              WHEN last_purchase_date >= CAST(as_of_date - INTERVAL 30 DAY AS DATE) THEN true
-              ELSE false END AS is_active_30d,
-         COALESCE(orders, 0) = 0 AS is_never_purchased
-  FROM base, as_of
-)"""
-
-
-@register("clv_per_buyer", O.clean(_CLV_CTE + " SELECT * FROM clv"))
-def q_clv(spark, sf_dir):
+def _clv(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.clv_per_buyer(wh.dim_date, wh.dim_buyer, wh.fact)
 
 
-_CHURN_SUMMARY = _CLV_CTE + """
-SELECT buyer_key, buyer_id, last_purchase_date, days_since_last_purchase,
-       (days_since_last_purchase IS NOT NULL AND days_since_last_purchase > 30) AS is_churned_30d,
-       (days_since_last_purchase IS NOT NULL AND days_since_last_purchase > 60) AS is_churned_60d,
-       last_purchase_date IS NULL AS is_never_purchased
-FROM clv"""
+@register("clv_per_buyer", _view_sql("clv"))
+def q_clv(spark, sf_dir):
+    return _clv(spark, sf_dir)
 
 
-@register("churn_summary", O.clean(_CHURN_SUMMARY))
+@register("churn_summary", _view_sql("churn"))
 def q_churn_summary(spark, sf_dir):
-    wh = clean_wh(spark, sf_dir)
-    return V.churn_summary(V.clv_per_buyer(wh.dim_date, wh.dim_buyer, wh.fact))
+    return V.churn_summary(_clv(spark, sf_dir))
 
 
-_RETURN_ITEM = """,
-agg AS (
-  SELECT i.item_key, i.item_code, i.item_name, i.category, v.year, v.month, v.year_month,
-         SUM(f.purchased_item_count) AS pq, SUM(f.refunded_item_count) AS rq,
-         SUM(f.refunds) AS rr
-  FROM fact f JOIN dim_item i ON f.item_key = i.item_key JOIN vw_date v ON f.date_key = v.date_key
-  GROUP BY i.item_key, i.item_code, i.item_name, i.category, v.year, v.month, v.year_month
-)
-SELECT item_key, item_code, item_name, category, year, month, year_month,
-       CAST(pq AS BIGINT) AS purchased_qty, CAST(abs(rq) AS BIGINT) AS refunded_qty,
-       CAST(rr AS DOUBLE) AS refunded_revenue,
-       CASE WHEN pq <> 0 THEN CAST(abs(rq) AS DOUBLE) / CAST(pq AS DOUBLE) END AS return_rate,
-       CAST(SUM(abs(rq)) OVER (PARTITION BY item_key) AS DOUBLE)
-         / CAST(NULLIF(SUM(pq) OVER (PARTITION BY item_key), 0) AS DOUBLE)
-         AS item_return_rate_overall
-FROM agg"""
-
-
-@register("return_rates_item", O.clean(_RETURN_ITEM))
+@register("return_rates_item", _view_sql("rri"))
 def q_return_item(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.return_rates_item(wh.dim_date, wh.dim_item, wh.fact)
 
 
-_RETURN_CAT = """,
-agg AS (
-  SELECT i.category, v.year, v.month, v.year_month,
-         SUM(f.purchased_item_count) AS pq, SUM(f.refunded_item_count) AS rq, SUM(f.refunds) AS rr
-  FROM fact f JOIN dim_item i ON f.item_key = i.item_key JOIN vw_date v ON f.date_key = v.date_key
-  GROUP BY i.category, v.year, v.month, v.year_month
-)
-SELECT category, year, month, year_month,
-       CAST(pq AS BIGINT) AS purchased_qty, CAST(abs(rq) AS BIGINT) AS refunded_qty,
-       CAST(rr AS DOUBLE) AS refunded_revenue,
-       CASE WHEN pq <> 0 THEN CAST(abs(rq) AS DOUBLE) / CAST(pq AS DOUBLE) END AS return_rate
-FROM agg"""
-
-
-@register("return_rates_category", O.clean(_RETURN_CAT))
+@register("return_rates_category", _view_sql("rrc"))
 def q_return_cat(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.return_rates_category(wh.dim_date, wh.dim_item, wh.fact)
 
 
-_COHORTS = """,
-base AS (
-  SELECT b.buyer_key, CAST(date_trunc('month', d.full_date) AS DATE) AS activity_month,
-         MIN(d.full_date) OVER (PARTITION BY b.buyer_key) AS first_purchase_date
-  FROM fact f JOIN dim_buyer b ON f.buyer_key = b.buyer_key JOIN dim_date d ON f.date_key = d.date_key
-),
-cohorted AS (
-  SELECT DISTINCT buyer_key, CAST(date_trunc('month', first_purchase_date) AS DATE) AS cohort_month,
-         activity_month
-  FROM base
-),
-ca AS (
-  SELECT cohort_month, activity_month,
-         CAST((year(activity_month) * 12 + month(activity_month))
-              - (year(cohort_month) * 12 + month(cohort_month)) AS INTEGER) AS months_since_cohort,
-         CAST(COUNT(DISTINCT buyer_key) AS BIGINT) AS active_buyers
-  FROM cohorted GROUP BY cohort_month, activity_month
-),
-sized AS (
-  SELECT *, MAX(CASE WHEN months_since_cohort = 0 THEN active_buyers END)
-              OVER (PARTITION BY cohort_month) AS cohort_size
-  FROM ca
-)
-SELECT cohort_month, activity_month, months_since_cohort, active_buyers, cohort_size,
-       CASE WHEN cohort_size > 0 THEN CAST(active_buyers AS DOUBLE) / CAST(cohort_size AS DOUBLE) END
-         AS retention_rate
-FROM sized"""
-
-
-@register("churn_cohorts", O.clean(_COHORTS))
+@register("churn_cohorts", _view_sql("coh"))
 def q_cohorts(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.churn_cohorts(wh.dim_date, wh.fact)
 
 
-_ITEM_PERF = """,
-base AS (
-  SELECT i.item_key, i.item_code, i.item_name, i.category,
-         SUM(f.final_revenue) AS tr, SUM(f.final_quantity) AS tq,
-         SUM(f.purchased_item_count) AS tp, SUM(f.refunded_item_count) AS trq,
-         SUM(f.price_reductions) AS td
-  FROM fact f JOIN dim_item i ON f.item_key = i.item_key
-  GROUP BY i.item_key, i.item_code, i.item_name, i.category
-),
-perf AS (
-  SELECT item_key, item_code, item_name, category,
-         CAST(tr AS DOUBLE) AS total_revenue, CAST(tq AS BIGINT) AS total_quantity,
-         CAST(trq AS BIGINT) AS total_refunded_qty, CAST(td AS DOUBLE) AS total_discounts,
-         CASE WHEN tp <> 0 THEN CAST(abs(trq) AS DOUBLE) / CAST(tp AS DOUBLE) END AS return_rate,
-         CASE WHEN CAST(tr AS DOUBLE) <> 0 THEN CAST(abs(td) AS DOUBLE) / CAST(tr AS DOUBLE)
-              ELSE 0.0 END AS discount_share,
-         RANK() OVER (ORDER BY tr DESC NULLS FIRST) AS revenue_rank,
-         RANK() OVER (PARTITION BY category ORDER BY tr DESC NULLS FIRST)
-           AS revenue_rank_in_category
-  FROM base
-)"""
-
-
-@register("item_performance", O.clean(_ITEM_PERF + " SELECT * FROM perf"))
+@register("item_performance", _view_sql("perf"))
 def q_item_perf(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.item_performance(wh.dim_item, wh.fact)
 
 
-_PROMO = """,
-flags AS (SELECT true AS is_promo UNION ALL SELECT false AS is_promo),
-agg AS (
-  SELECT date_key, price_reductions <> 0 AS is_promo, SUM(final_revenue) AS revenue,
-         COUNT(DISTINCT transaction_id) AS orders, SUM(purchased_item_count) AS pq,
-         abs(SUM(refunded_item_count)) AS rq
-  FROM fact GROUP BY date_key, price_reductions <> 0
-),
-promo AS (
-  SELECT v.date_key, v.full_date, v.year, v.month, v.year_month, v.month_start, v.month_end,
-         fl.is_promo,
-         CAST(COALESCE(a.revenue, 0) AS DOUBLE) AS revenue,
-         CAST(COALESCE(a.orders, 0) AS BIGINT) AS orders,
-         CAST(COALESCE(a.pq, 0) AS BIGINT) AS purchased_qty,
-         CAST(COALESCE(a.rq, 0) AS BIGINT) AS refunded_qty
-  FROM vw_date v CROSS JOIN flags fl
-  LEFT JOIN agg a ON a.date_key = v.date_key AND a.is_promo = fl.is_promo
-)"""
-
-
-@register("promo_revenue_daily", O.clean(_PROMO + " SELECT * FROM promo"))
+@register("promo_revenue_daily", _view_sql("promo"))
 def q_promo(spark, sf_dir):
     wh = clean_wh(spark, sf_dir)
     return V.promo_revenue_daily(wh.dim_date, wh.fact)
+
+
+# ----------------------------------------------------------------------------
+# Measures M1–M22 and dashboard derivations B1–B5, O2
+# ----------------------------------------------------------------------------
+
+class _Views:
+    """Views of the clean warehouse, each built only when first used."""
+
+    def __init__(self, spark, sf_dir):
+        self.wh = clean_wh(spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "wh":
+            return self.wh
+        if name not in self._built:
+            wh = self.wh
+            make = {
+                "daily": lambda: V.sales_daily(wh.dim_date, wh.fact),
+                "clv": lambda: V.clv_per_buyer(wh.dim_date, wh.dim_buyer, wh.fact),
+                "churn": lambda: V.churn_summary(self["clv"]),
+                "rri": lambda: V.return_rates_item(wh.dim_date, wh.dim_item, wh.fact),
+                "rrc": lambda: V.return_rates_category(wh.dim_date, wh.dim_item, wh.fact),
+                "coh": lambda: V.churn_cohorts(wh.dim_date, wh.fact),
+                "perf": lambda: V.item_performance(wh.dim_item, wh.fact),
+                "promo": lambda: V.promo_revenue_daily(wh.dim_date, wh.fact),
+            }
+            self._built[name] = make[name]()
+        return self._built[name]
+
+
+def _views(spark, sf_dir) -> _Views:
+    return _Views(spark, sf_dir)
+
+
+@register("rolling_7d", O.compose(O.CLEAN, ["roll"], "SELECT * FROM roll"))
+def q_rolling(spark, sf_dir):
+    return M.rolling_7d(_views(spark, sf_dir)["daily"])
+
+
+@register("active_buyers", O.compose(O.CLEAN, ["act"], "SELECT * FROM act"))
+def q_active(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return M.active_buyers(v["wh"].dim_date, v["clv"])
+
+
+def _chg(cur: str, pri: str) -> str:
+    return (f"CASE WHEN CAST({pri} AS DOUBLE) <> 0 THEN CAST({cur} AS DOUBLE) / CAST({pri} AS DOUBLE)"
+            f" END - 1 AS {cur}_change")
+
+
+_EXEC = f"""
+SELECT r.full_date, revenue_7d, revenue_prior_7d, {_chg('revenue_7d', 'revenue_prior_7d')},
+       orders_7d, orders_prior_7d, {_chg('orders_7d', 'orders_prior_7d')},
+       aov_7d, aov_prior_7d, {_chg('aov_7d', 'aov_prior_7d')},
+       active_buyers_7d, active_buyers_prior_7d,
+       {_chg('active_buyers_7d', 'active_buyers_prior_7d')}
+FROM roll r JOIN act a ON a.full_date = r.full_date"""
+
+
+@register("exec_kpis", O.compose(O.CLEAN, ["roll", "act"], _EXEC))
+def q_exec(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return M.exec_kpis(v["wh"].dim_date, v["daily"], v["clv"])
+
+
+_TOTALS = """,
+tk AS (
+  SELECT
+    (SELECT ROUND(SUM(daily_revenue), 2) FROM daily) AS total_revenue,
+    (SELECT CAST(SUM(daily_orders) AS BIGINT) FROM daily) AS total_orders,
+    (SELECT ROUND(AVG(discount_share), 9) FROM perf) AS discount_share,
+    (SELECT COUNT(DISTINCT buyer_id) FROM dim_buyer) AS total_buyers,
+    (SELECT CASE WHEN COUNT(*) FILTER (WHERE is_churned_30d) > 0
+                 THEN COUNT(*) FILTER (WHERE is_churned_30d) END FROM churn) AS churned_buyers_30d,
+    (SELECT CAST(SUM(purchased_qty) AS BIGINT) FROM rri) AS purchased_qty,
+    (SELECT CAST(SUM(refunded_qty) AS BIGINT) FROM rri) AS returned_qty,
+    (SELECT ROUND(SUM(revenue) FILTER (WHERE is_promo), 2) FROM promo) AS promo_revenue,
+    (SELECT ROUND(SUM(revenue) FILTER (WHERE NOT is_promo), 2) FROM promo) AS non_promo_revenue
+)
+SELECT *,
+  CASE WHEN total_buyers <> 0 THEN CAST(churned_buyers_30d AS DOUBLE) / CAST(total_buyers AS DOUBLE) END
+    AS churn_rate_30d,
+  CASE WHEN purchased_qty <> 0 THEN CAST(returned_qty AS DOUBLE) / CAST(purchased_qty AS DOUBLE) END
+    AS return_rate,
+  CASE WHEN promo_revenue + non_promo_revenue <> 0
+       THEN promo_revenue / (promo_revenue + non_promo_revenue) END AS promo_share
+FROM tk"""
+
+
+@register("total_kpis", O.compose(O.CLEAN, ["daily", "perf", "churn", "rri", "promo"], _TOTALS))
+def q_totals(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return M.total_kpis(v["daily"], v["wh"].dim_buyer, v["churn"], v["perf"], v["promo"], v["rri"])
+
+
+_RR_ITEM = """
+SELECT item_key, item_code, item_name, category,
+       CAST(SUM(purchased_qty) AS BIGINT) AS purchased_qty,
+       CAST(SUM(refunded_qty) AS BIGINT) AS returned_qty,
+       CASE WHEN SUM(purchased_qty) <> 0
+            THEN CAST(SUM(refunded_qty) AS DOUBLE) / CAST(SUM(purchased_qty) AS DOUBLE) END
+         AS return_rate
+FROM rri GROUP BY item_key, item_code, item_name, category"""
+
+
+@register("return_rate_item", O.compose(O.CLEAN, ["rri"], _RR_ITEM))
+def q_rr_item(spark, sf_dir):
+    return M.return_rate_by_item(_views(spark, sf_dir)["rri"])
+
+
+_RR_CAT = """
+SELECT category, CAST(SUM(purchased_qty) AS BIGINT) AS purchased_qty,
+       CAST(SUM(refunded_qty) AS BIGINT) AS returned_qty,
+       CASE WHEN SUM(purchased_qty) <> 0
+            THEN CAST(SUM(refunded_qty) AS DOUBLE) / CAST(SUM(purchased_qty) AS DOUBLE) END
+         AS return_rate
+FROM rrc GROUP BY category"""
+
+
+@register("return_rate_category", O.compose(O.CLEAN, ["rrc"], _RR_CAT))
+def q_rr_cat(spark, sf_dir):
+    return M.return_rate_by_category(_views(spark, sf_dir)["rrc"])
+
+
+_PROMO_SHARE = """,
+ps AS (
+  SELECT year_month, ROUND(SUM(revenue) FILTER (WHERE is_promo), 2) AS promo_revenue,
+         ROUND(SUM(revenue) FILTER (WHERE NOT is_promo), 2) AS non_promo_revenue
+  FROM promo GROUP BY year_month
+)
+SELECT *, CASE WHEN promo_revenue + non_promo_revenue <> 0
+               THEN promo_revenue / (promo_revenue + non_promo_revenue) END AS promo_share
+FROM ps"""
+
+
+@register("promo_share", O.compose(O.CLEAN, ["promo"], _PROMO_SHARE))
+def q_promo_share(spark, sf_dir):
+    return M.promo_share_by_month(_views(spark, sf_dir)["promo"])
+
+
+_DISC = """
+SELECT category, ROUND(AVG(discount_share), 9) AS discount_share, COUNT(*) AS n_items
+FROM perf GROUP BY category"""
+
+
+@register("discount_share", O.compose(O.CLEAN, ["perf"], _DISC))
+def q_discount(spark, sf_dir):
+    return M.discount_share_by_category(_views(spark, sf_dir)["perf"])
+
+
+_CHURN_RATE = """,
+cr AS (
+  SELECT (SELECT COUNT(DISTINCT buyer_id) FROM dim_buyer) AS total_buyers,
+         CASE WHEN COUNT(*) FILTER (WHERE is_churned_30d) > 0
+              THEN COUNT(*) FILTER (WHERE is_churned_30d) END AS churned_buyers_30d
+  FROM churn
+)
+SELECT total_buyers, churned_buyers_30d,
+       CASE WHEN total_buyers <> 0
+            THEN CAST(churned_buyers_30d AS DOUBLE) / CAST(total_buyers AS DOUBLE) END
+         AS churn_rate_30d
+FROM cr"""
+
+
+@register("churn_rate", O.compose(O.CLEAN, ["churn"], _CHURN_RATE))
+def q_churn_rate(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return M.churn_rate(v["wh"].dim_buyer, v["churn"])
+
+
+@register("top_items", O.compose(O.CLEAN, ["perf"], "SELECT * FROM perf WHERE revenue_rank <= 10"))
+def q_top_items(spark, sf_dir):
+    return M.top_items(_views(spark, sf_dir)["perf"], 10)
+
+
+_HIST = """,
+hb AS (SELECT MIN(total_revenue) AS lo, MAX(total_revenue) AS hi FROM clv),
+hx AS (
+  SELECT CASE WHEN hi = lo THEN CAST(1 AS BIGINT)
+              ELSE LEAST(CAST(floor((total_revenue - lo) * 10.0 / (hi - lo)) AS BIGINT) + 1,
+                         CAST(10 AS BIGINT)) END AS bin
+  FROM clv, hb
+)
+SELECT bin, lo + (bin - 1) * ((hi - lo) / 10.0) AS bin_low, lo + bin * ((hi - lo) / 10.0) AS bin_high,
+       n_buyers
+FROM (SELECT bin, COUNT(*) AS n_buyers FROM hx GROUP BY bin), hb"""
+
+
+@register("clv_histogram", O.compose(O.CLEAN, ["clv"], _HIST))
+def q_hist(spark, sf_dir):
+    return M.clv_histogram(_views(spark, sf_dir)["clv"], 10)
+
+
+_STATUS = """
+SELECT CASE WHEN is_never_purchased THEN 'never_purchased'
+            WHEN is_churned_30d THEN 'churned' ELSE 'active' END AS status,
+       COUNT(*) AS n_buyers
+FROM churn GROUP BY 1"""
+
+
+@register("buyer_status_split", O.compose(O.CLEAN, ["churn"], _STATUS))
+def q_status(spark, sf_dir):
+    return M.buyer_status_split(_views(spark, sf_dir)["churn"])
+
+
+@register("cohort_matrix", O.compose(
+    O.CLEAN, ["coh"],
+    "SELECT * FROM (PIVOT (SELECT cohort_month, months_since_cohort, retention_rate FROM coh) "
+    "ON months_since_cohort USING max(retention_rate) GROUP BY cohort_month)"))
+def q_cohort_matrix(spark, sf_dir):
+    return M.cohort_matrix(_views(spark, sf_dir)["coh"])
