@@ -12,7 +12,7 @@ def _col(c: Column | str) -> Column:
 
 def parse_date(c: Column | str, fmt: str) -> Column:
     """Text -> DATE, unparsable -> NULL (one leading blank allowed)."""
-    return F.try_to_date(F.ltrim(_col(c)), F.lit(fmt))
+    return F.try_to_date(F.ltrim(_col(c)), fmt)
 
 
 def month_start(d: Column | str) -> Column:

@@ -15,12 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.config import EtlConfig
+from salesmart.config import CanonicalizeConfig, EtlConfig
+from salesmart.functions.text import canonical_category
+from salesmart.operators.dims import build_item_dimension
+from salesmart.operators.validate import check_failures, drop_rate, flag_rows
 from salesmart.plans import oracle as O
 from salesmart.plans import measures as M
 from salesmart.plans import views as V
 from salesmart.plans.warehouse import Warehouse, build_warehouse
-from salesmart.sources.raw import clean_raw
+from salesmart.sources.raw import clean_raw, profile
 from salesmart.sources.tables import raw_sales_text, sales_record
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -381,3 +384,169 @@ def q_status(spark, sf_dir):
     "ON months_since_cohort USING max(retention_rate) GROUP BY cohort_month)"))
 def q_cohort_matrix(spark, sf_dir):
     return M.cohort_matrix(_views(spark, sf_dir)["coh"])
+
+
+# ----------------------------------------------------------------------------
+# ETL stages on the raw-text record (cleaning, dimensions, validation, fact)
+# ----------------------------------------------------------------------------
+
+_REC_COLS = ("item_name", "category", "version", "item_code", "item_id", "buyer_id",
+             "transaction_id", "date", "final_quantity", "total_revenue", "price_reductions",
+             "refunds", "final_revenue", "sales_tax", "overall_revenue", "refunded_item_count",
+             "purchased_item_count")
+_MONEY = ("total_revenue", "price_reductions", "refunds", "final_revenue", "sales_tax",
+          "overall_revenue")
+
+
+def _rec_select(alias: str = "") -> str:
+    p = f"{alias}." if alias else ""
+    return ", ".join(
+        f"CAST({p}{c} AS DOUBLE) AS {c}" if c in _MONEY else f"{p}{c}" for c in _REC_COLS
+    )
+
+
+def _messy(spark, sf_dir) -> DataFrame:
+    return _memo(spark, ("messy_sales", sf_dir), lambda: messy_sales(spark, sf_dir))
+
+
+@register("clean_record", O.messy(f" SELECT {_rec_select()} FROM rec"))
+def q_clean_record(spark, sf_dir):
+    return _money_double(_messy(spark, sf_dir).drop("_seq"))
+
+
+# Spark type names of the cleaned record (the profile reports them).
+_REC_TYPES = dict(
+    [(c, "string") for c in ("item_name", "category", "version", "item_code")]
+    + [(c, "bigint") for c in ("item_id", "buyer_id", "transaction_id")]
+    + [("date", "date")]
+    + [(c, "int") for c in ("final_quantity", "refunded_item_count", "purchased_item_count")]
+    + [(c, "decimal(24,6)") for c in _MONEY]
+)
+_PROFILE = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{_REC_TYPES[c]}' AS data_type, CAST(COUNT(*) AS BIGINT) AS n_rows,"
+    f" CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS n_nulls FROM rec"
+    for c in _REC_COLS
+)
+
+
+@register("profile_raw", O.messy(" " + _PROFILE))
+def q_profile(spark, sf_dir):
+    return profile(_messy(spark, sf_dir))
+
+
+@register("canonical_category", O.messy(
+    " SELECT DISTINCT \"Category\" AS raw_category, " + O._CANON.format(c='"Category"')
+    + " AS category FROM raw"))
+def q_canon(spark, sf_dir):
+    raw = raw_sales_text(spark, sf_dir)
+    return raw.select(
+        F.col("Category").alias("raw_category"),
+        canonical_category(F.col("Category")).alias("category"),
+    ).distinct()
+
+
+@register("dim_item_mode", O.messy(" SELECT * FROM dim_item"))
+def q_dim_item_mode(spark, sf_dir):
+    return messy_wh(spark, sf_dir).dim_item
+
+
+_PASSTHROUGH = """,
+pt AS (
+  SELECT DISTINCT item_code, item_id, item_name, """ + O._CANON.format(c="category") + """ AS category,
+         version
+  FROM rec WHERE item_id IS NOT NULL
+)
+SELECT row_number() OVER (ORDER BY item_code, CAST(item_id AS VARCHAR), item_name, category, version)
+         AS item_key, item_code, item_id, item_name, category, version
+FROM pt"""
+
+
+@register("dim_item_passthrough", O.messy(_PASSTHROUGH))
+def q_dim_item_pt(spark, sf_dir):
+    return build_item_dimension(_messy(spark, sf_dir),
+                                CanonicalizeConfig(item_attributes="distinct"))
+
+
+@register("dim_buyer_raw", O.messy(" SELECT * FROM dim_buyer"))
+def q_dim_buyer_raw(spark, sf_dir):
+    return messy_wh(spark, sf_dir).dim_buyer
+
+
+@register("dim_date_raw", O.messy(" SELECT * FROM dim_date"))
+def q_dim_date_raw(spark, sf_dir):
+    return messy_wh(spark, sf_dir).dim_date
+
+
+_FAILS = " UNION ALL ".join(
+    f"SELECT '{n}' AS check_name, CAST(COUNT(*) FILTER (WHERE NOT ok_{n}) AS BIGINT) AS n_failed"
+    f" FROM flagged"
+    for n in ("revenue_balance", "overall_balance", "quantity_balance", "refunded_nonpositive")
+)
+
+
+@register("validation_failures", O.messy(" " + _FAILS))
+def q_fails(spark, sf_dir):
+    return check_failures(_messy(spark, sf_dir))
+
+
+@register("validated_rows", O.messy(f" SELECT {_rec_select()} FROM valid"))
+def q_valid(spark, sf_dir):
+    flagged = flag_rows(_messy(spark, sf_dir))
+    return _money_double(flagged.where("is_valid").select(*_REC_COLS))
+
+
+_REJECTED = f"""
+SELECT {_rec_select()},
+       concat_ws(',', CASE WHEN NOT ok_revenue_balance THEN 'revenue_balance' END,
+                      CASE WHEN NOT ok_overall_balance THEN 'overall_balance' END,
+                      CASE WHEN NOT ok_quantity_balance THEN 'quantity_balance' END,
+                      CASE WHEN NOT ok_refunded_nonpositive THEN 'refunded_nonpositive' END)
+         AS reject_reasons
+FROM flagged
+WHERE NOT (ok_revenue_balance AND ok_overall_balance AND ok_quantity_balance
+           AND ok_refunded_nonpositive)"""
+
+
+@register("rejected_rows", O.messy(_REJECTED))
+def q_rejected(spark, sf_dir):
+    flagged = flag_rows(_messy(spark, sf_dir))
+    return _money_double(flagged.where(~F.col("is_valid")).select(
+        *_REC_COLS, F.array_join("reject_reasons", ",").alias("reject_reasons")))
+
+
+_DROP = """,
+dr AS (SELECT CAST(COUNT(*) AS BIGINT) AS n_rows,
+              CAST(COUNT(*) FILTER (WHERE ok_revenue_balance AND ok_overall_balance
+                                    AND ok_quantity_balance AND ok_refunded_nonpositive) AS BIGINT)
+                AS n_valid
+       FROM flagged)
+SELECT n_rows, n_valid, n_rows - n_valid AS n_rejected,
+       CAST(n_rows - n_valid AS DOUBLE) / GREATEST(n_rows, 1) AS drop_rate
+FROM dr"""
+
+
+@register("drop_rate", O.messy(_DROP))
+def q_drop(spark, sf_dir):
+    return drop_rate(flag_rows(_messy(spark, sf_dir)))
+
+
+@register("fact_sales_raw", O.messy(_FACT_OUT))
+def q_fact_raw(spark, sf_dir):
+    return _money_double(messy_wh(spark, sf_dir).fact)
+
+
+_ORPHANS = f"""
+SELECT {_rec_select()}, date_key, item_key, buyer_key,
+       concat_ws(',', CASE WHEN date_key IS NULL THEN 'date_key' END,
+                      CASE WHEN item_key IS NULL THEN 'item_key' END,
+                      CASE WHEN buyer_key IS NULL THEN 'buyer_key' END,
+                      CASE WHEN transaction_id IS NULL THEN 'transaction_id' END) AS missing
+FROM looked
+WHERE date_key IS NULL OR item_key IS NULL OR buyer_key IS NULL OR transaction_id IS NULL"""
+
+
+@register("fact_orphans", O.messy(_ORPHANS))
+def q_orphans(spark, sf_dir):
+    orphans = messy_wh(spark, sf_dir).orphans
+    return _money_double(orphans.select(*_REC_COLS, "date_key", "item_key", "buyer_key",
+                                        F.array_join("missing", ",").alias("missing")))
