@@ -17,7 +17,17 @@ from pyspark.sql import functions as F
 
 from salesmart.config import CanonicalizeConfig, EtlConfig
 from salesmart.functions.text import canonical_category
-from salesmart.operators.dims import build_item_dimension
+from salesmart.operators.constraints import constraint_report
+from salesmart.operators.dims import (
+    build_buyer_dimension,
+    build_date_dimension,
+    build_item_dimension,
+    buyer_ids,
+    item_attributes,
+    new_buyers,
+    new_dates,
+    new_items,
+)
 from salesmart.operators.validate import check_failures, drop_rate, flag_rows
 from salesmart.plans import oracle as O
 from salesmart.plans import measures as M
@@ -550,3 +560,112 @@ def q_orphans(spark, sf_dir):
     orphans = messy_wh(spark, sf_dir).orphans
     return _money_double(orphans.select(*_REC_COLS, "date_key", "item_key", "buyer_key",
                                         F.array_join("missing", ",").alias("missing")))
+
+
+# ----------------------------------------------------------------------------
+# Constraint report (C1–C5) and incremental dimension loads
+# ----------------------------------------------------------------------------
+
+def _rule(table: str, name: str, pred: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{name}' AS constraint_name, "
+            f"CAST(COUNT(*) FILTER (WHERE NOT COALESCE({pred}, false)) AS BIGINT) AS violations "
+            f"FROM {table}")
+
+
+def _uniq(table: str, key: str) -> str:
+    return (f"SELECT '{table}' AS table_name, 'unique_{key}' AS constraint_name, "
+            f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations FROM "
+            f"(SELECT {key}, COUNT(*) AS n FROM {table} GROUP BY {key} HAVING COUNT(*) > 1)")
+
+
+def _fk(key: str, dim: str) -> str:
+    return (f"SELECT 'fact_sales' AS table_name, 'fk_{key}' AS constraint_name, "
+            f"CAST(COUNT(*) AS BIGINT) AS violations FROM fact f "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{key})")
+
+
+_FACT_NOT_NULL = ("date_key", "item_key", "buyer_key", "transaction_id", "final_quantity",
+                  "total_revenue", "price_reductions", "refunds", "final_revenue", "sales_tax",
+                  "overall_revenue", "refunded_item_count", "purchased_item_count")
+_CONSTRAINTS = ",\nfact_sales AS (SELECT * FROM fact)\n" + "\nUNION ALL\n".join(
+    [_rule("dim_date", f"not_null_{c}", f"{c} IS NOT NULL")
+     for c in ("full_date", "year", "quarter", "month", "day", "is_weekend")]
+    + [_rule("dim_date", "check_quarter", "quarter BETWEEN 1 AND 4"),
+       _rule("dim_date", "check_month", "month BETWEEN 1 AND 12"),
+       _rule("dim_date", "check_day", "day BETWEEN 1 AND 31"),
+       _uniq("dim_date", "full_date"), _uniq("dim_date", "date_key")]
+    + [_rule("dim_item", f"not_null_{c}", f"{c} IS NOT NULL")
+       for c in ("item_code", "item_id", "item_name", "version")]
+    + [_uniq("dim_item", "item_code"), _uniq("dim_item", "item_key"),
+       _rule("dim_buyer", "not_null_buyer_id", "buyer_id IS NOT NULL"),
+       _uniq("dim_buyer", "buyer_id"), _uniq("dim_buyer", "buyer_key")]
+    + [_rule("fact_sales", f"not_null_{c}", f"{c} IS NOT NULL") for c in _FACT_NOT_NULL]
+    + [_rule("fact_sales", "check_purchased_nonnegative", "purchased_item_count >= 0"),
+       _rule("fact_sales", "ck_revenue_1",
+             "final_revenue = total_revenue + price_reductions + refunds"),
+       _rule("fact_sales", "ck_revenue_2",
+             "abs(overall_revenue - (final_revenue + sales_tax)) <= 0.01"),
+       _rule("fact_sales", "ck_qty",
+             "final_quantity = purchased_item_count + refunded_item_count"),
+       _rule("fact_sales", "ck_refunded", "refunded_item_count <= 0"),
+       _fk("date_key", "dim_date"), _fk("item_key", "dim_item"), _fk("buyer_key", "dim_buyer")]
+)
+
+
+@register("constraint_report", O.messy(_CONSTRAINTS))
+def q_constraints(spark, sf_dir):
+    wh = messy_wh(spark, sf_dir)
+    return constraint_report(wh.dim_date, wh.dim_item, wh.dim_buyer, wh.fact)
+
+
+# First load = orders up to this date; the second load brings the rest.
+FIRST_LOAD_UNTIL = "1997-12-31"
+
+
+def _first_load(spark, sf_dir) -> DataFrame:
+    return sales_record(spark, sf_dir, until=FIRST_LOAD_UNTIL)
+
+
+_FIRST = f""",
+rec1 AS (SELECT * FROM rec WHERE date <= DATE '{FIRST_LOAD_UNTIL}'),"""
+
+_NEW_DATES = _FIRST + """
+d1 AS (
+  SELECT CAST(unnest(generate_series(CAST(MIN(date) AS TIMESTAMP), CAST(MAX(date) AS TIMESTAMP),
+                                     INTERVAL 1 DAY)) AS DATE) AS full_date
+  FROM rec1
+)
+SELECT CAST((SELECT COUNT(*) FROM d1) + row_number() OVER (ORDER BY full_date) AS INTEGER)
+         AS date_key, full_date, year, quarter, month, day, is_weekend
+FROM dim_date WHERE full_date NOT IN (SELECT full_date FROM d1)"""
+
+
+@register("new_dim_dates", O.clean(_NEW_DATES))
+def q_new_dates(spark, sf_dir):
+    existing = build_date_dimension(_first_load(spark, sf_dir))
+    return new_dates(clean_wh(spark, sf_dir).dim_date, existing)
+
+
+_NEW_ITEMS = _FIRST + """
+i1 AS (SELECT DISTINCT item_code FROM rec1 WHERE item_code IS NOT NULL AND item_id IS NOT NULL)
+SELECT (SELECT COUNT(*) FROM i1) + row_number() OVER (ORDER BY item_code) AS item_key,
+       item_code, item_id, item_name, category, version
+FROM dim_item WHERE item_code NOT IN (SELECT item_code FROM i1)"""
+
+
+@register("new_dim_items", O.clean(_NEW_ITEMS))
+def q_new_items(spark, sf_dir):
+    existing = build_item_dimension(_first_load(spark, sf_dir))
+    return new_items(item_attributes(clean_sales(spark, sf_dir)), existing)
+
+
+_NEW_BUYERS = _FIRST + """
+b1 AS (SELECT DISTINCT buyer_id FROM rec1 WHERE buyer_id IS NOT NULL)
+SELECT (SELECT COUNT(*) FROM b1) + row_number() OVER (ORDER BY buyer_id) AS buyer_key, buyer_id
+FROM dim_buyer WHERE buyer_id NOT IN (SELECT buyer_id FROM b1)"""
+
+
+@register("new_dim_buyers", O.clean(_NEW_BUYERS))
+def q_new_buyers(spark, sf_dir):
+    existing = build_buyer_dimension(_first_load(spark, sf_dir))
+    return new_buyers(buyer_ids(clean_sales(spark, sf_dir)), existing)

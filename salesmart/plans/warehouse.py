@@ -32,14 +32,12 @@ class Warehouse:
         return {"dim_date": self.dim_date, "dim_item": self.dim_item,
                 "dim_buyer": self.dim_buyer, "fact_sales": self.fact}
 
-    def register_views(self, prefix: str = "") -> None:
-        """Publish the tables and the nine views as temp views."""
+    def views(self) -> dict[str, DataFrame]:
+        """The nine analytics views over these tables (lazy)."""
         from salesmart.plans import views as V
 
-        for name, df in self.tables().items():
-            df.createOrReplaceTempView(prefix + name)
         clv = V.clv_per_buyer(self.dim_date, self.dim_buyer, self.fact)
-        published = {
+        return {
             "vw_date": V.vw_date(self.dim_date),
             "vw_sales_daily": V.sales_daily(self.dim_date, self.fact),
             "vw_clv_per_buyer": clv,
@@ -51,7 +49,10 @@ class Warehouse:
             "vw_item_performance": V.item_performance(self.dim_item, self.fact),
             "vw_promo_revenue_daily": V.promo_revenue_daily(self.dim_date, self.fact),
         }
-        for name, df in published.items():
+
+    def register_views(self, prefix: str = "") -> None:
+        """Publish the tables and the nine views as temp views."""
+        for name, df in {**self.tables(), **self.views()}.items():
             df.createOrReplaceTempView(prefix + name)
 
 
