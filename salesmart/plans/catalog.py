@@ -430,7 +430,7 @@ _REC_TYPES = dict(
     + [(c, "bigint") for c in ("item_id", "buyer_id", "transaction_id")]
     + [("date", "date")]
     + [(c, "int") for c in ("final_quantity", "refunded_item_count", "purchased_item_count")]
-    + [(c, "decimal(24,6)") for c in _MONEY]
+    + [(c, "decimal(18,4)") for c in _MONEY]
 )
 _PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{_REC_TYPES[c]}' AS data_type, CAST(COUNT(*) AS BIGINT) AS n_rows,"

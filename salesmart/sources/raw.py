@@ -19,7 +19,8 @@ from salesmart.functions.text import clean_id, null_na_tokens
 
 # Parsed money keeps more precision than the warehouse type so that the
 # tolerance checks see the file's values; the fact rounds to decimal(14,2).
-PARSED_MONEY = "decimal(24,6)"
+# Precision 18 keeps Spark on its long-backed (fast) decimal path.
+PARSED_MONEY = "decimal(18,4)"
 
 
 def read_raw_csv(spark: SparkSession, cfg: SourceConfig,
@@ -58,9 +59,10 @@ def map_columns(raw: DataFrame, column_map: dict[str, str]) -> DataFrame:
 
 
 def _to_int(c):
-    # "12.0" is a whole number and accepted; "12.5" or text becomes NULL.
-    d = c.try_cast("decimal(38,6)")
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    # Plain integers take the fast cast; "12.0" is a whole number and is
+    # accepted through the decimal path; "12.5" or text becomes NULL.
+    d = c.try_cast("decimal(18,4)")
+    return F.coalesce(c.try_cast("int"), F.when(d == F.floor(d), d.try_cast("int")))
 
 
 def clean_raw(raw: DataFrame, cfg: SourceConfig | None = None,
