@@ -119,7 +119,9 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> None:
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
-                 cfg: EtlConfig | None = None, fact_mode: str = "overwrite") -> RunResult:
+                 cfg: EtlConfig | None = None, fact_mode: str = "overwrite",
+                 fact_path: str | None = None,
+                 warehouse_dir: str | None = None) -> RunResult:
     """Raw text record -> processed files -> warehouse tables.
 
     Order of effects (the gate raises after the cleaned file and the
@@ -137,7 +139,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     6. E17 fact: keys looked up against the warehouse dimensions as stored;
        rows without a key or a transaction id go to ``processed/fact_orphans``.
        ``fact_mode="append"`` adds to an existing fact (not idempotent,
-       like the reference); the default replaces it.
+       like the reference); the default replaces it.  ``fact_path`` writes
+       the fact somewhere else (the streaming loader writes one folder per
+       micro-batch so a retried batch replaces its own output).
     """
     from salesmart.operators.fact import lookup_keys, split_fact
     from salesmart.operators.validate import drop_rate, flag_rows, gate
@@ -155,7 +159,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
         timings[name] = round(now - clock[0], 3)
         clock[0] = now
 
-    proc, wdir = f"{base}/processed", f"{base}/warehouse"
+    proc = f"{base}/processed"
+    wdir = (warehouse_dir or f"{base}/warehouse").rstrip("/")
 
     cleaned_path = f"{proc}/orders_cleaned"
     raw.write.mode("overwrite").parquet(cleaned_path)  # lineage cut: one raw scan
@@ -217,7 +222,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
                          if fmt == "parquet" else valid,
                          stored["dim_date"], stored["dim_item"], stored["dim_buyer"])
     fact, orphans = split_fact(looked)
-    fact.write.mode(fact_mode).parquet(f"{wdir}/fact_sales")
+    fact.write.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
     orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
     lap("fact")
     counts["timings"] = timings
