@@ -94,11 +94,21 @@ def _ordered(c: str, descending: bool, nulls_first: bool) -> Column:
     return col.asc_nulls_first() if nulls_first else col.asc_nulls_last()
 
 
+def value_cuts(df: DataFrame, value: str, n_buckets: int | None = None) -> list:
+    """Cut points of ``value`` that several ranks of the same value can share
+    (one sampling pass instead of one per rank)."""
+    return _boundaries(df, value, _n_buckets(df, n_buckets))[0]
+
+
 def _rank_distinct(dist: DataFrame, value: str, parts: Sequence[str], weight: str,
-                   descending: bool, nulls_first: bool, n: int) -> DataFrame:
+                   descending: bool, nulls_first: bool, n: int,
+                   cuts: list | None = None) -> DataFrame:
     """``dist`` holds distinct (parts, value) with a row count ``weight``;
     adds ``__rank`` = 1 + rows ordered strictly before it."""
-    cuts, dom = _boundaries(dist, value, n)
+    if cuts is None:
+        cuts, dom = _boundaries(dist, value, n)
+    else:
+        dom = _sort_domain(dist, value)[0]
     nb = len(cuts) + 1
     null_bucket = (nb if descending else -1) if nulls_first else (-1 if descending else nb)
     bucket = F.when(F.col(value).isNull(), F.lit(null_bucket)).otherwise(_bucket(dom, cuts))
@@ -127,18 +137,19 @@ def _rank_distinct(dist: DataFrame, value: str, parts: Sequence[str], weight: st
 
 def rank_over(df: DataFrame, value: str, out: str, partition_by: Sequence[str] = (),
               descending: bool = True, nulls_first: bool | None = None,
-              n_buckets: int | None = None) -> DataFrame:
+              n_buckets: int | None = None, cuts: list | None = None) -> DataFrame:
     """``RANK() OVER (PARTITION BY partition_by ORDER BY value [DESC])``.
 
     ``nulls_first`` defaults to PostgreSQL order (NULLs first on DESC, last
-    on ASC).  Every input row is kept; ``out`` is BIGINT.
+    on ASC).  Every input row is kept; ``out`` is BIGINT.  ``cuts`` (from
+    :func:`value_cuts`) skips the sampling pass.
     """
     if nulls_first is None:
         nulls_first = descending
     parts = list(partition_by)
     n = _n_buckets(df, n_buckets)
     dist = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__w"))
-    ranks = _rank_distinct(dist, value, parts, "__w", descending, nulls_first, n)
+    ranks = _rank_distinct(dist, value, parts, "__w", descending, nulls_first, n, cuts)
     keys = parts + [value]
     ranks = ranks.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__rank").alias(out)

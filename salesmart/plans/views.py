@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import dates as D
 from salesmart.functions.numeric import as_double, ratio, ratio_or_zero
-from salesmart.operators.keys import rank_over
+from salesmart.operators.keys import rank_over, value_cuts
 
 
 def vw_date(dim_date: DataFrame) -> DataFrame:
@@ -224,9 +224,10 @@ def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
         F.sum("refunded_item_count").alias("total_refunded_qty"),
         F.sum("price_reductions").alias("total_discounts"),
     ).join(dim_item.select("item_key", "item_code", "item_name", "category"), "item_key")
-    ranked = rank_over(base, "total_revenue", "revenue_rank")
+    cuts = value_cuts(base, "total_revenue")  # one sampling pass for both ranks
+    ranked = rank_over(base, "total_revenue", "revenue_rank", cuts=cuts)
     ranked = rank_over(ranked, "total_revenue", "revenue_rank_in_category",
-                       partition_by=["category"])
+                       partition_by=["category"], cuts=cuts)
     return ranked.select(
         "item_key", "item_code", "item_name", "category",
         as_double("total_revenue").alias("total_revenue"),
