@@ -68,3 +68,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Compute ``df`` once into a Parquet table below the shared checkpoint
+    folder and return a DataFrame reading it.
+
+    Used where a plan is referenced several times (a scalar subquery plus the
+    main plan, a rank's sampling pass plus its join-back): every reference
+    then reads the stored rows instead of re-scanning the fact.  This also
+    cuts the lineage, so a lost executor never re-runs the upstream shuffle.
+    One job; unlike ``Dataset.checkpoint`` it needs no extra persist to
+    avoid computing the plan twice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
