@@ -159,7 +159,7 @@ def rank_over(df: DataFrame, value: str, out: str, partition_by: Sequence[str] =
 
 
 def dense_keys(df: DataFrame, natural_key: str, out: str, start: Column | int = 0,
-               n_buckets: int | None = None) -> DataFrame:
+               n_buckets: int | None = None, materialize_input: bool = True) -> DataFrame:
     """Surrogate keys ``start+1, start+2, ...`` in natural-key order.
 
     ``df`` must hold one row per natural key (a dimension).  The numbering is
@@ -167,7 +167,16 @@ def dense_keys(df: DataFrame, natural_key: str, out: str, start: Column | int =
     ``monotonically_increasing_id`` — so re-running a lost task reproduces
     the same keys.  ``start`` may be a scalar-subquery Column (the current
     maximum key of an existing dimension).
+
+    The rows are read three times (cut-point sample, in-bucket window, bucket
+    totals), so unless ``materialize_input`` is off they are first written
+    once below the shared checkpoint folder: the upstream aggregation (e.g.
+    the item mode) then runs once.
     """
+    if materialize_input:
+        from salesmart.session import materialize
+
+        df = materialize(df, "dense-keys")
     n = _n_buckets(df, n_buckets)
     weighted = df.withColumn("__w", F.lit(1))
     ranked = _rank_distinct(weighted, natural_key, [], "__w", False, False, n)

@@ -57,10 +57,13 @@ def _money_parts(df: DataFrame) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     purchased = F.col("l_quantity").cast("int")
     total = F.col("l_extendedprice").cast(MONEY)
-    reduction = (-F.round(total * F.col("l_discount").cast("decimal(4,2)"), 2)).cast(MONEY)
+    # decimal(13,2) x decimal(4,2) has precision 18: Spark keeps the product
+    # on its long-backed fast path (19 digits would switch to BigDecimal).
+    # Prices stay far below 10^11, so no value changes.
+    reduction = (-F.round(total.cast("decimal(13,2)") * F.col("l_discount").cast("decimal(4,2)"), 2)).cast(MONEY)
     refunds = F.when(returned, -(total + reduction)).otherwise(F.lit(0)).cast(MONEY)
     final = (total + reduction + refunds).cast(MONEY)
-    tax = F.round(final * F.col("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
+    tax = F.round(final.cast("decimal(13,2)") * F.col("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
     refunded_cnt = F.when(returned, -purchased).otherwise(F.lit(0)).cast("int")
     return df.select(
         "*",
