@@ -69,10 +69,11 @@ def _boundaries(df: DataFrame, col: str, n: int) -> tuple[list, Column]:
         total = vals.count()
         if total == 0:
             return [], dom
-        target = 64 * n
+        # About 16 values per bucket: at most 2 * 16 * MAX_BUCKETS reach the driver.
+        target = 16 * n
         frac = min(1.0, target / total)
         sample = sorted(
-            r[0] for r in vals.sample(False, frac, seed=20190430).limit(4 * target).collect()
+            r[0] for r in vals.sample(False, frac, seed=20190430).limit(2 * target).collect()
         )
         if not sample:
             return [], dom

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -221,9 +222,16 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     looked = lookup_keys(spark.read.parquet(f"{proc}/validated_fact_data")
                          if fmt == "parquet" else valid,
                          stored["dim_date"], stored["dim_item"], stored["dim_buyer"])
-    fact, orphans = split_fact(looked)
-    fact.write.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
-    orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
+    # Two sinks read the same lookup joins: keep the joined rows (memory, then
+    # local disk) so the fact-sized joins run once.  A lost block is
+    # recomputed from the (deterministic) lineage.
+    looked = looked.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fact, orphans = split_fact(looked)
+        fact.write.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
+        orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
+    finally:
+        looked.unpersist()
     lap("fact")
     counts["timings"] = timings
     log.info("run_pipeline timings: %s", timings)
