@@ -15,6 +15,8 @@ that the floating-point summation order cannot show.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,47 @@ def _day_range(lo: int, hi: int) -> Window:
     return Window.orderBy(F.unix_date("full_date")).rangeBetween(lo, hi)
 
 
+def measure(view: DataFrame, measures: dict[str, Column],
+            by: Sequence[str | Column] = (), where: Column | None = None) -> DataFrame:
+    """Evaluate measures in a filter context (§2.10): ``where`` is the
+    slicer / CALCULATE filter, ``by`` the visual's cells; one row per cell
+    (one row in total without ``by``).  Measures are aggregate Columns and
+    may combine aggregates (a ratio of sums)."""
+    df = view if where is None else view.where(where)
+    aggs = [expr.alias(name) for name, expr in measures.items()]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+# Core measures, by the view they are defined on (functions: a Column needs
+# an active session).
+def sales_measures() -> dict[str, Column]:
+    """M1, M4 over the daily sales view."""
+    return {
+        "total_revenue": _money(F.sum("daily_revenue")),
+        "total_orders": F.sum("daily_orders"),
+    }
+
+
+def return_measures() -> dict[str, Column]:
+    """M14–M16 / M17–M19 over the item or category return-rate view."""
+    return {
+        "purchased_qty": F.sum("purchased_qty"),
+        "returned_qty": F.sum("refunded_qty"),
+        "return_rate": ratio(F.sum("refunded_qty"), F.sum("purchased_qty")),
+    }
+
+
+def promo_measures() -> dict[str, Column]:
+    """M20–M22 over the promo view."""
+    promo = _money(F.sum(F.when(F.col("is_promo"), F.col("revenue"))))
+    non_promo = _money(F.sum(F.when(~F.col("is_promo"), F.col("revenue"))))
+    return {
+        "promo_revenue": promo,
+        "non_promo_revenue": non_promo,
+        "promo_share": ratio(promo, promo + non_promo),
+    }
+
+
 def rolling_7d(sales_daily: DataFrame) -> DataFrame:
     """M2, M3, M5, M6, M7 per calendar day.
 

@@ -130,3 +130,19 @@ def test_measure_totals(spark, wh):
     assert split == {"active": 2, "churned": 1, "never_purchased": 1}
     hist = M.clv_histogram(clv, 10).collect()
     assert sum(r.n_buyers for r in hist) == 4
+
+
+def test_generic_measure_filter_context(spark, wh):
+    dim_date, dim_item, _, fact = wh
+    daily = V.sales_daily(dim_date, fact)
+    whole = M.measure(daily, M.sales_measures()).first()
+    assert (whole.total_revenue, whole.total_orders) == (260.0, 5)
+    feb = M.measure(daily, M.sales_measures(), by=["year_month"],
+                    where=daily.year_month == "2019-02").collect()
+    assert [(r.year_month, r.total_revenue, r.total_orders) for r in feb] == [("2019-02", 30.0, 2)]
+    rr = M.measure(V.return_rates_item(dim_date, dim_item, fact), M.return_measures(),
+                   by=["category"])
+    by_cat = {r.category: r for r in rr.collect()}
+    assert by_cat["Cat1"].return_rate == 1 / 5 and by_cat[None].return_rate is None
+    pm = M.measure(V.promo_revenue_daily(dim_date, fact), M.promo_measures()).first()
+    assert pm.promo_revenue == 90.0 and pm.promo_share == pytest.approx(90 / 260)
