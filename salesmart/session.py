@@ -85,3 +85,33 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a large run, sized from the raw input size.
+
+    * initial shuffle partitions ≈ input / 256 MiB (AQE then coalesces small
+      ones and splits skewed ones), so a shuffle partition fits an executor
+      core's memory share without spilling much;
+    * scan splits of 512 MiB (fewer tasks for large Parquet/CSV files);
+    * broadcast of a join side only when its measured runtime size is under
+      64 MiB (dimension tables of moderate size; a larger side is joined by
+      shuffle, with skew-join splitting for hot keys).
+    """
+    parts = max(200, min(200_000, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)

@@ -67,3 +67,12 @@ def test_profile_counts_nulls_in_one_row_per_column(spark):
     rows = {r.column_name: r for r in profile(df).collect()}
     assert rows["a"].n_rows == 3 and rows["a"].n_nulls == 1 and rows["a"].data_type == "int"
     assert rows["b"].n_nulls == 1 and rows["b"].data_type == "string"
+
+
+def test_scale_conf_sizes_partitions():
+    from salesmart.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000  # capped
+    assert int(scale_conf(1 << 30)["spark.sql.shuffle.partitions"]) == 200
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
