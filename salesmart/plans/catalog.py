@@ -235,15 +235,14 @@ def _views(spark, sf_dir) -> _Views:
 _MONTHLY = """
 SELECT year, month, year_month, ROUND(SUM(daily_revenue), 2) AS total_revenue,
        CAST(SUM(daily_orders) AS BIGINT) AS total_orders
-FROM daily WHERE year >= 1996 GROUP BY year, month, year_month"""
+FROM daily GROUP BY year, month, year_month"""
 
 
 @register("monthly_sales", O.compose(O.CLEAN, ["daily"], _MONTHLY))
 def q_monthly(spark, sf_dir):
-    """M1 / M4 per month through the generic filter-context evaluator,
-    sliced to the years from 1996 on (a report slicer, not a row cap)."""
+    """M1 / M4 per month through the generic filter-context evaluator."""
     return M.measure(_views(spark, sf_dir)["daily"], M.sales_measures(),
-                     by=["year", "month", "year_month"], where=F.col("year") >= 1996)
+                     by=["year", "month", "year_month"])
 
 
 @register("rolling_7d", O.compose(O.CLEAN, ["roll"], "SELECT * FROM roll"))
