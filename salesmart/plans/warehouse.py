@@ -166,6 +166,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     cleaned_path = f"{proc}/orders_cleaned"
     raw.write.mode("overwrite").parquet(cleaned_path)  # lineage cut: one raw scan
     cleaned = spark.read.parquet(cleaned_path)
+    if log.isEnabledFor(logging.INFO):
+        from salesmart.sources.raw import profile
+
+        for r in profile(cleaned).collect():  # one row per column
+            log.info(" - %s: %s, nulls: %d.", r.column_name, r.data_type, r.n_nulls)
     lap("cleaned")
     if fmt != "parquet":
         _write(cleaned.drop("_seq"), f"{proc}/orders_cleaned_{fmt}", fmt)
@@ -178,6 +183,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     for name, df in dims.items():
         _write(df, f"{proc}/{name}", fmt)
         lap(name)
+    dropped = dims_op.dropped_counts(cleaned).first().asDict()
+    for what, n in dropped.items():
+        if n:
+            log.warning("Dimension build dropped %d (%s).", n, what)
 
     flagged = flag_rows(cleaned, cfg.validation)
     stats = drop_rate(flagged).first().asDict()
@@ -195,6 +204,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     lap("validated_rejected")
 
     counts = dict(stats)
+    counts.update(dropped)
     if cfg.dry_run:
         for name in dims:
             counts[f"{name}_rows"] = spark.read.format(fmt).load(f"{proc}/{name}").count() \
@@ -230,6 +240,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
         fact, orphans = split_fact(looked)
         fact.write.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
         orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
+        n_orphans = spark.read.parquet(f"{proc}/fact_orphans").count()
+        counts["n_orphans"] = n_orphans
+        if n_orphans:
+            log.warning("%d validated rows have no key or transaction id (fact_orphans).",
+                        n_orphans)
     finally:
         looked.unpersist()
     lap("fact")

@@ -29,9 +29,11 @@ def test_dry_run_then_runs_are_idempotent_for_dimensions(spark, tmp_path):
         assert os.path.isdir(os.path.join(res.processed_dir, name)), name
     assert not os.path.exists(os.path.join(out, "warehouse"))
     assert res.counts["n_rejected"] == 18 and res.counts["n_rows"] == 6000
+    assert res.counts["null_buyer_id_rows"] == 0
 
     cfg = EtlConfig(source=SourceConfig(path=raw_path))
-    run_pipeline(spark, load_raw_data(spark, cfg.source), out, cfg)
+    res = run_pipeline(spark, load_raw_data(spark, cfg.source), out, cfg)
+    assert res.counts["n_orphans"] == 12  # null transaction ids and impossible dates
     wh1 = read_warehouse(spark, f"{out}/warehouse")
     sizes = [wh1.dim_date.count(), wh1.dim_item.count(), wh1.dim_buyer.count(), wh1.fact.count()]
     run_pipeline(spark, load_raw_data(spark, cfg.source), out, cfg)
