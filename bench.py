@@ -76,7 +76,7 @@ def main() -> None:
         "rolling_7d": lambda: M.rolling_7d(daily()),
         "exec_kpis": lambda: M.exec_kpis(dd, daily(), clv()),
         "total_kpis": lambda: M.total_kpis(
-            daily(), db, V.churn_summary(clv()), V.item_performance(di, fact),
+            daily(), db, V.churn_summary(clv()), V.item_metrics(di, fact),
             V.promo_revenue_daily(dd, fact), V.return_rates_item(dd, di, fact)),
         "constraint_report": lambda: constraint_report(dd, di, db, fact),
     }

@@ -222,6 +222,7 @@ class _Views:
                 "rrc": lambda: V.return_rates_category(wh.dim_date, wh.dim_item, wh.fact),
                 "coh": lambda: V.churn_cohorts(wh.dim_date, wh.fact),
                 "perf": lambda: V.item_performance(wh.dim_item, wh.fact),
+                "metrics": lambda: V.item_metrics(wh.dim_item, wh.fact),
                 "promo": lambda: V.promo_revenue_daily(wh.dim_date, wh.fact),
             }
             self._built[name] = make[name]()
@@ -303,7 +304,8 @@ FROM tk"""
 @register("total_kpis", O.compose(O.CLEAN, ["daily", "perf", "churn", "rri", "promo"], _TOTALS))
 def q_totals(spark, sf_dir):
     v = _views(spark, sf_dir)
-    return M.total_kpis(v["daily"], v["wh"].dim_buyer, v["churn"], v["perf"], v["promo"], v["rri"])
+    return M.total_kpis(v["daily"], v["wh"].dim_buyer, v["churn"], v["metrics"], v["promo"],
+                        v["rri"])
 
 
 _RR_ITEM = """
@@ -358,7 +360,7 @@ FROM perf GROUP BY category"""
 
 @register("discount_share", O.compose(O.CLEAN, ["perf"], _DISC))
 def q_discount(spark, sf_dir):
-    return M.discount_share_by_category(_views(spark, sf_dir)["perf"])
+    return M.discount_share_by_category(_views(spark, sf_dir)["metrics"])
 
 
 _CHURN_RATE = """,

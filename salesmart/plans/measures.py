@@ -136,6 +136,9 @@ def total_kpis(sales_daily: DataFrame, dim_buyer: DataFrame, churn: DataFrame,
                item_perf: DataFrame, promo: DataFrame, returns_item: DataFrame) -> DataFrame:
     """Whole-model values of M1, M4, M8, M9, M12–M16, M20–M22 (one row).
 
+    ``item_perf`` may be V8 or :func:`views.item_metrics` (same
+    ``discount_share`` values without the ranking work).
+
     Each measure is a scalar subquery over its own view — every view is
     aggregated once, in parallel, and no cross join is needed."""
     def scalar(df: DataFrame, expr: Column) -> Column:

@@ -215,27 +215,19 @@ def churn_cohorts(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
-    """V8: per-item revenue, quantities, return rate, discount share, overall
-    and in-category revenue rank (RANK, gaps on ties, NULLs first).
-
-    Ranks use the distributed :func:`rank_over` (no single-partition sort).
-    The per-item aggregate is referenced by both ranks (sampling, distinct
-    values, join-back) and by the output, so it is materialised once: the
-    fact is scanned a single time."""
-    base = fact.groupBy("item_key").agg(
+def _item_totals(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
+    """Fact aggregated per item (exact decimal sums) with the item's labels."""
+    return fact.groupBy("item_key").agg(
         F.sum("final_revenue").alias("total_revenue"),
         F.sum("final_quantity").alias("total_quantity"),
         F.sum("purchased_item_count").alias("total_purchased_qty"),
         F.sum("refunded_item_count").alias("total_refunded_qty"),
         F.sum("price_reductions").alias("total_discounts"),
     ).join(dim_item.select("item_key", "item_code", "item_name", "category"), "item_key")
-    base = materialize(base, "item-performance")
-    cuts = value_cuts(base, "total_revenue")  # one sampling pass for both ranks
-    ranked = rank_over(base, "total_revenue", "revenue_rank", cuts=cuts)
-    ranked = rank_over(ranked, "total_revenue", "revenue_rank_in_category",
-                       partition_by=["category"], cuts=cuts)
-    return ranked.select(
+
+
+def _item_metric_columns():
+    return [
         "item_key", "item_code", "item_name", "category",
         as_double("total_revenue").alias("total_revenue"),
         F.col("total_quantity").cast("bigint").alias("total_quantity"),
@@ -243,9 +235,29 @@ def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
         as_double("total_discounts").alias("total_discounts"),
         ratio(F.abs("total_refunded_qty"), "total_purchased_qty").alias("return_rate"),
         ratio_or_zero(F.abs("total_discounts"), "total_revenue").alias("discount_share"),
-        "revenue_rank",
-        "revenue_rank_in_category",
-    )
+    ]
+
+
+def item_metrics(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
+    """V8 without the two ranks: what the discount-share and return
+    measures read (one fact aggregation, no ranking work)."""
+    return _item_totals(dim_item, fact).select(*_item_metric_columns())
+
+
+def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
+    """V8: per-item revenue, quantities, return rate, discount share, overall
+    and in-category revenue rank (RANK, gaps on ties, NULLs first).
+
+    Ranks use the distributed :func:`rank_over` (no single-partition sort).
+    The per-item aggregate is referenced by both ranks (sampling, distinct
+    values, join-back) and by the output, so it is materialised once: the
+    fact is scanned a single time."""
+    base = materialize(_item_totals(dim_item, fact), "item-performance")
+    cuts = value_cuts(base, "total_revenue")  # one sampling pass for both ranks
+    ranked = rank_over(base, "total_revenue", "revenue_rank", cuts=cuts)
+    ranked = rank_over(ranked, "total_revenue", "revenue_rank_in_category",
+                       partition_by=["category"], cuts=cuts)
+    return ranked.select(*_item_metric_columns(), "revenue_rank", "revenue_rank_in_category")
 
 
 def promo_revenue_daily(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
