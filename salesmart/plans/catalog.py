@@ -15,8 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.config import CanonicalizeConfig, EtlConfig
-from salesmart.functions.text import canonical_category
+from salesmart.config import DEFAULT_DATE_FORMAT, CanonicalizeConfig, EtlConfig
+from salesmart.functions.dates import parse_date
+from salesmart.functions.text import canonical_category, clean_id
 from salesmart.operators.constraints import constraint_report
 from salesmart.operators.dims import (
     build_buyer_dimension,
@@ -28,7 +29,12 @@ from salesmart.operators.dims import (
     new_dates,
     new_items,
 )
-from salesmart.operators.validate import check_failures, drop_rate, flag_rows
+from salesmart.operators.validate import (
+    check_expressions,
+    check_failures,
+    drop_rate,
+    flag_rows,
+)
 from salesmart.plans import oracle as O
 from salesmart.plans import measures as M
 from salesmart.plans import views as V
@@ -699,3 +705,58 @@ FROM dim_buyer WHERE buyer_id NOT IN (SELECT buyer_id FROM b1)"""
 def q_new_buyers(spark, sf_dir):
     existing = build_buyer_dimension(_first_load(spark, sf_dir))
     return new_buyers(buyer_ids(clean_sales(spark, sf_dir)), existing)
+
+
+# ----------------------------------------------------------------------------
+# Single-operator views of the cleaning and validation steps
+# ----------------------------------------------------------------------------
+
+_ID_PAIRS = (("Transaction ID", "transaction_id"), ("Buyer ID", "buyer_id"),
+             ("Item ID", "item_id"))
+
+
+@register("clean_ids", O.messy(
+    " SELECT DISTINCT " + ", ".join(
+        f'"{raw}" AS raw_{name}, '
+        f"TRY_CAST(NULLIF(regexp_replace(\"{raw}\", '[^0-9]', '', 'g'), '') AS BIGINT) AS {name}"
+        for raw, name in _ID_PAIRS) + " FROM raw"))
+def q_clean_ids(spark, sf_dir):
+    """The three id columns, raw text next to the cleaned BIGINT."""
+    raw = raw_sales_text(spark, sf_dir)
+    cols = []
+    for src, name in _ID_PAIRS:
+        cols += [F.col(f"`{src}`").alias(f"raw_{name}"), clean_id(F.col(f"`{src}`")).alias(name)]
+    return raw.select(*cols).distinct()
+
+
+@register("parse_dates", O.messy(
+    ' SELECT DISTINCT "Date" AS raw_date, '
+    "CAST(try_strptime(ltrim(\"Date\"), '%d/%m/%Y') AS DATE) AS date FROM raw"))
+def q_parse_dates(spark, sf_dir):
+    """Raw date text and the parsed DATE (NULL when impossible)."""
+    raw = raw_sales_text(spark, sf_dir)
+    return raw.select(F.col("Date").alias("raw_date"),
+                      parse_date(F.col("Date"), DEFAULT_DATE_FORMAT).alias("date")).distinct()
+
+
+def _failing(check: str):
+    def q(spark, sf_dir):
+        expr = check_expressions()[check]
+        return _money_double(_messy(spark, sf_dir).where(~expr).select(*_REC_COLS))
+    q.__doc__ = f"Rows failing the {check} check (E9–E12)."
+    return q
+
+
+for _name, _check in (("validate_revenue", "revenue_balance"),
+                      ("validate_overall", "overall_balance"),
+                      ("validate_quantity", "quantity_balance"),
+                      ("validate_refunded", "refunded_nonpositive")):
+    register(_name, O.messy(f" SELECT {_rec_select()} FROM flagged WHERE NOT ok_{_check}"))(
+        _failing(_check))
+
+
+@register("aov_7d", O.compose(O.CLEAN, ["roll"], "SELECT full_date, aov_7d, aov_prior_7d FROM roll"))
+def q_aov(spark, sf_dir):
+    """M7: average order value over the rolling 7 days (and the prior 7)."""
+    return M.rolling_7d(_views(spark, sf_dir)["daily"]).select("full_date", "aov_7d",
+                                                                "aov_prior_7d")
