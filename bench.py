@@ -4,8 +4,9 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-* ``raw_landing``: the raw-text sales record (adapter over lineitem ⋈
-  orders ⋈ part, with injected defects) written as a delimited file.
+* ``setup.raw_landing`` (reported, not in the total): the raw-text sales
+  record (adapter over lineitem ⋈ orders ⋈ part, with injected defects)
+  written as a delimited file — test-data preparation, not a query.
 * ``etl_build``: ``run_pipeline`` from that file: CSV scan, cleaning,
   cleaned file, dimension files, validation gate, validated / rejected
   files, warehouse dimensions and fact.  Timed once (it writes).
@@ -45,13 +46,14 @@ def main() -> None:
     out = scratch_path(spark, "bench-warehouse")
 
     times: dict[str, float] = {}
+    setup: dict[str, float] = {}
     # The raw file lands: the adapter's text record written as one CSV
     # folder (header, ',' delimiter) — the reference's input format.
     t0 = time.perf_counter()
     raw_path = f"{out}/raw/orders"
     raw_sales_text(spark, sf_dir).drop("_seq").write.mode("overwrite") \
         .option("header", True).csv(raw_path)
-    times["raw_landing"] = time.perf_counter() - t0
+    setup["raw_landing"] = time.perf_counter() - t0
 
     t0 = time.perf_counter()
     cfg = EtlConfig(source=SourceConfig(path=raw_path))
@@ -95,6 +97,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
+        "setup": {k: round(v, 3) for k, v in setup.items()},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
     }))
