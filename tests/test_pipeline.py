@@ -51,3 +51,17 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert "sales_daily" in E.oracle_sql()
+
+
+def test_csv_outputs(spark, tmp_path):
+    raw_path = _raw_file(spark, tmp_path)
+    out = str(tmp_path / "out_csv")
+    cfg = EtlConfig(source=SourceConfig(path=raw_path), output_format="csv")
+    res = run_pipeline(spark, load_raw_data(spark, cfg.source), out, cfg)
+    rejected = spark.read.option("header", True).csv(f"{res.processed_dir}/rejected_rows")
+    assert rejected.count() == 18
+    assert "reject_reasons" in rejected.columns
+    dims = spark.read.option("header", True).csv(f"{res.processed_dir}/dim_buyer")
+    wh = read_warehouse(spark, res.warehouse_dir)
+    assert dims.count() == wh.dim_buyer.count()
+    assert wh.fact.count() == 6000 - 18 - 12
