@@ -89,3 +89,7 @@ class EtlConfig:
     output_format: str = "parquet"
     # JDBC writer batch size when the warehouse is a database.
     chunk_size: int = 5000
+    # Store the fact in one folder per calendar day (date_key).  Date filters
+    # on the calendar then prune fact files through dynamic partition
+    # pruning.  Worth it when each day holds large files.
+    partition_fact_by_date: bool = False

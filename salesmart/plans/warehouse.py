@@ -82,9 +82,16 @@ def build_warehouse(sales: DataFrame, cfg: EtlConfig | None = None,
 
 
 def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
-    """S3: the four tables back from Parquet."""
+    """S3: the four tables back from Parquet (a fact stored per day gets its
+    columns back in the usual order; ``date_key`` is then the partition
+    column, so calendar filters prune fact folders)."""
+    from salesmart.operators.fact import FACT_COLUMNS
+
     t = {n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in TABLE_NAMES}
-    return Warehouse(t["dim_date"], t["dim_item"], t["dim_buyer"], t["fact_sales"])
+    fact = t["fact_sales"]
+    extra = [c for c in fact.columns if c not in FACT_COLUMNS]
+    fact = fact.select(*FACT_COLUMNS, *extra)
+    return Warehouse(t["dim_date"], t["dim_item"], t["dim_buyer"], fact)
 
 
 def write_warehouse(wh: Warehouse, path: str, mode: str = "overwrite") -> None:
@@ -238,7 +245,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     looked = looked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fact, orphans = split_fact(looked)
-        fact.write.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
+        writer = fact
+        if cfg.partition_fact_by_date:
+            # REBALANCE: AQE splits a hot day over several writers and packs
+            # small days together, so files stay near the advisory size.
+            writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
+        else:
+            writer = fact.write
+        writer.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
         orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
         n_orphans = spark.read.parquet(f"{proc}/fact_orphans").count()
         counts["n_orphans"] = n_orphans
