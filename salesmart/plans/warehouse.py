@@ -280,3 +280,18 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     counts["timings"] = timings
     log.info("run_pipeline timings: %s", timings)
     return RunResult(proc, wdir, counts)
+
+
+def publish_jdbc(wh: Warehouse, url: str, schema: str, properties: dict[str, str],
+                 cfg: EtlConfig | None = None, mode: str = "append") -> None:
+    """S8, database variant: append the four tables through Spark's JDBC
+    writer in batches of ``cfg.chunk_size`` rows, one connection per task.
+
+    Not exercised by the tests: no database server may run in this
+    environment.  Keys are already assigned, so the target tables must not
+    generate their own identity values.
+    """
+    cfg = cfg or EtlConfig()
+    props = {"batchsize": str(cfg.chunk_size), **properties}
+    for name, df in wh.tables().items():
+        df.write.mode(mode).jdbc(url, f"{schema}.{name}", properties=props)

@@ -46,8 +46,11 @@ def raw_stream(spark: SparkSession, in_dir: str, cfg: EtlConfig,
 
 def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, cfg: EtlConfig | None = None,
                  checkpoint: str | None = None, available_now: bool = True,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+                 max_files_per_trigger: int | None = None,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Start the stream.  ``available_now`` processes what is there and
+    stops; otherwise it keeps running, checking for new files every
+    ``processing_time`` (e.g. ``"5 minutes"``) or as soon as a batch ends."""
     cfg = cfg or EtlConfig()
     base = out_dir.rstrip("/")
 
@@ -65,5 +68,8 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, cfg: EtlConfig
         stream.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
     return writer.start()
