@@ -16,6 +16,11 @@ SAMPLE = ["sales_daily", "clv_per_buyer", "item_performance", "churn_cohorts",
           "dim_item_mode", "constraint_report", "new_dim_buyers", "cohort_matrix"]
 
 
+# Spark type name -> DuckDB type name of the same column.
+_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -43,8 +48,11 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
-    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, res.fetchall())
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: _DUCK.get(t, t) for c, t in df.dtypes} == duck_types
+    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, drows)
 
 
 def test_every_query_has_an_oracle():
