@@ -760,3 +760,26 @@ def q_aov(spark, sf_dir):
     """M7: average order value over the rolling 7 days (and the prior 7)."""
     return M.rolling_7d(_views(spark, sf_dir)["daily"]).select("full_date", "aov_7d",
                                                                 "aov_prior_7d")
+
+
+# ----------------------------------------------------------------------------
+# Views over the warehouse the ETL builds from the raw-text record
+# (cleaning, validation and orphan removal upstream of the view)
+# ----------------------------------------------------------------------------
+
+@register("sales_daily_raw", O.compose(O.MESSY, ["daily"], "SELECT * FROM daily"))
+def q_sales_daily_raw(spark, sf_dir):
+    wh = messy_wh(spark, sf_dir)
+    return V.sales_daily(wh.dim_date, wh.fact)
+
+
+@register("clv_per_buyer_raw", O.compose(O.MESSY, ["clv"], "SELECT * FROM clv"))
+def q_clv_raw(spark, sf_dir):
+    wh = messy_wh(spark, sf_dir)
+    return V.clv_per_buyer(wh.dim_date, wh.dim_buyer, wh.fact)
+
+
+@register("item_performance_raw", O.compose(O.MESSY, ["perf"], "SELECT * FROM perf"))
+def q_item_perf_raw(spark, sf_dir):
+    wh = messy_wh(spark, sf_dir)
+    return V.item_performance(wh.dim_item, wh.fact)
