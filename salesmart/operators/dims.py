@@ -70,12 +70,38 @@ def _first_non_null(value: str, order: str | None) -> Column:
     return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))
 
 
+def most_frequent(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """Per ``key``, the most frequent non-null value of each string
+    attribute; ties -> the smallest value; all-null -> NULL.
+
+    Values are counted per (key, attribute, value) first — that shuffle is
+    spread by value, so a key holding a third of the rows is split across
+    tasks — and each key then keeps one fixed-size ``min_by`` buffer per
+    attribute (ordering ``(-count, value)``).  The built-in ``mode`` gives the
+    same answer but holds a map of every distinct value of a key in one
+    buffer.
+    """
+    long = df.select(
+        key,
+        F.explode(F.array(*[
+            F.struct(F.lit(a).alias("attr"), F.col(a).alias("value")) for a in attrs
+        ])).alias("kv"),
+    ).select(key, "kv.attr", "kv.value").where(F.col("value").isNotNull())
+    counts = long.groupBy(key, "attr", "value").agg(F.count(F.lit(1)).alias("n"))
+    best = [
+        F.min_by(F.col("value"), F.when(F.col("attr") == a, F.struct(-F.col("n"), F.col("value"))))
+        .alias(a)
+        for a in attrs
+    ]
+    return counts.groupBy(key).agg(*best)
+
+
 def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None) -> DataFrame:
     """One row per item (mode strategy) or distinct rows.
 
     mode strategy: group by ``item_code`` (NULL codes dropped); ``item_id`` =
     first non-null in file order; name / category / version = most frequent
-    non-null value, ties -> smallest (deterministic built-in ``mode``).
+    non-null value, ties -> smallest (:func:`most_frequent`).
     Category is canonicalised before the mode is taken.  Groups whose
     ``item_id`` is NULL are dropped.
     """
@@ -85,17 +111,13 @@ def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None) -> D
             canonical_category("category", canon.category).alias("category"), "version"]
     items = df.select(*cols, *([order] if order else []))
     if canon.item_attributes == "mode":
-        grouped = (
-            items.where(F.col("item_code").isNotNull())
-            .groupBy("item_code")
-            .agg(
-                _first_non_null("item_id", order).alias("item_id"),
-                F.mode("item_name", True).alias("item_name"),
-                F.mode("category", True).alias("category"),
-                F.mode("version", True).alias("version"),
-            )
-        )
-        return grouped.where(F.col("item_id").isNotNull())
+        coded = items.where(F.col("item_code").isNotNull())
+        first = coded.groupBy("item_code").agg(
+            _first_non_null("item_id", order).alias("item_id"))
+        modes = most_frequent(coded, "item_code", ["item_name", "category", "version"])
+        grouped = first.join(modes, "item_code", "left")
+        return grouped.where(F.col("item_id").isNotNull()).select(
+            "item_code", "item_id", "item_name", "category", "version")
     return (
         items.drop(*([order] if order else []))
         .where(F.col("item_id").isNotNull())
