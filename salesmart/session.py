@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,24 +31,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system / object store path);
-    only a local-mode session falls back to a private temporary folder.
+    On a cluster it must be a folder that driver and executors share.  Only a
+    local-mode session in which nothing is set gets a folder below its own
+    warehouse folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; a cluster run needs a shared folder"
-        )
-    path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; a cluster run needs a shared folder")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -57,17 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint directory."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    # Object stores / HDFS: a unique child path; the writer creates it.
-    import uuid
-
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared checkpoint folder; the writer creates it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):
@@ -98,7 +85,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
       64 MiB (dimension tables of moderate size; a larger side is joined by
       shuffle, with skew-join splitting for hot keys).
     """
-    parts = max(200, min(200_000, input_bytes // target_partition_bytes))
+    parts = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -73,6 +73,6 @@ def test_scale_conf_sizes_partitions():
     from salesmart.session import scale_conf
 
     conf = scale_conf(100 * (1 << 40))  # 100 TiB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000  # capped
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert int(scale_conf(1 << 30)["spark.sql.shuffle.partitions"]) == 200
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
