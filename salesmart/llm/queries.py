@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, decontaminate, licenses, quality, url_rules
+from salesmart.llm import bpe, decontaminate, licenses, line_dedup, near_dedup, quality, url_rules, warc
+from salesmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -134,3 +135,21 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "rules.*")
+
+
+@register("op7_near_dedup")
+def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op8_warc")
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), target)
+    return warc.read_warc(spark, target).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op9_line_dedup")
+def line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
