@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, decontaminate, licenses, line_dedup, near_dedup, quality, url_rules, warc
+from salesmart.llm import bpe, decontaminate, licenses, line_dedup, lm_scoring, near_dedup, quality, repeats, url_rules, warc
 from salesmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,11 @@ def pre_token_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@register("op1_lm_scoring")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @register("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer("byte_bpe_50k.tiktoken"), pre_token_pattern()
@@ -153,3 +158,10 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@register("op5_suffix_dedup")
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_repeats(table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(found).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

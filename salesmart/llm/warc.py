@@ -51,6 +51,11 @@ def record_id(page: str, url: str, digest: str, copy: int) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {url} {digest} {copy}')}>"
 
 
+def header_value(text: str) -> str:
+    """A url on one header line: line ends are percent-encoded."""
+    return text.replace("\r", "%0D").replace("\n", "%0A")
+
+
 def record(page_id: int | None, url: str, payload: bytes, digest: str, copy: int, refers: tuple | None) -> bytes:
     """One record as its own gzip member."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
@@ -60,7 +65,7 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, copy: int
         f"WARC-Type: {'revisit' if refers else 'response'}",
         f"WARC-Record-ID: {record_id(str(page_id), url, digest, copy)}",
         f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {url}",
+        f"WARC-Target-URI: {header_value(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"WARC-Block-Digest: sha1:{base32_sha1(block)}",
         "Content-Type: application/http;msgtype=response",
