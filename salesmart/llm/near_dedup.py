@@ -230,19 +230,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     text = only(docs, id_col, text_col).select(F.col(id_col).cast("bigint").alias("unit"), F.col(text_col).alias("text"))
 
-    def load_sets(members: DataFrame, small: bool) -> DataFrame:
-        wanted = F.broadcast(members) if small else members
+    def load_texts(members: DataFrame, small: bool) -> DataFrame:
+        return text.join(F.broadcast(members) if small else members, "unit").select("key", "unit", "text")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                sets = [s.tobytes() for s in shingle_sets(b["text"], width)]
-                keep = pa.array([len(s) > 0 for s in sets])
-                out = pa.RecordBatch.from_arrays([b["key"], b["unit"], pa.array(sets, pa.binary())], names=["key", "unit", "hashes"])
-                yield out.filter(keep)
+    def to_sets(texts: pa.Array):
+        return shingle_sets(texts, width)
 
-        return text.join(wanted, "unit").select("key", "unit", "text").mapInArrow(run, "key bigint, unit bigint, hashes binary")
-
-    joined = exact_components(loose, records.select("unit", "n"), load_sets, percent, max_hashes)
+    joined = exact_components(loose, records.select("unit", "n"), load_texts, to_sets, percent, max_hashes)
     labels = materialize(
         records.select("set_id", "unit").join(joined, "unit", "left").select(
             "set_id", F.coalesce("component", "unit").alias("component_id")), "labels")

@@ -62,9 +62,12 @@ def link_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return label
 
 
-def verified_components(members: DataFrame, percent: int) -> DataFrame:
-    """``members(key, unit, hashes)`` -> (a, b): each unit with the first unit
-    of its verified component inside the group ``key``, if not itself."""
+def verified_components(members: DataFrame, to_sets, percent: int) -> DataFrame:
+    """``members(key, unit, text)`` -> (a, b): each unit with the first unit
+    of its verified component inside the group ``key``, if not itself.
+
+    ``to_sets`` gives the sets of a text column.  Texts are shuffled, not
+    their sets, which are several times larger."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units: list[int] = []
@@ -81,7 +84,9 @@ def verified_components(members: DataFrame, percent: int) -> DataFrame:
             return None
 
         for b in batches:
-            for k, u, h in zip(b["key"].to_pylist(), b["unit"].to_pylist(), b["hashes"]):
+            for k, u, own in zip(b["key"].to_pylist(), b["unit"].to_pylist(), to_sets(b["text"])):
+                if not len(own):
+                    continue
                 if k != key:
                     out = flush()
                     if out is not None and out.num_rows:
@@ -89,22 +94,22 @@ def verified_components(members: DataFrame, percent: int) -> DataFrame:
                     key, units, sets = k, [], []
                 if not units or units[-1] != u:
                     units.append(u)
-                    sets.append(np.frombuffer(h.as_py(), U64))
+                    sets.append(own)
         out = flush()
         if out is not None and out.num_rows:
             yield out
 
     return (members.repartition("key").sortWithinPartitions("key", "unit")
-            .select("key", "unit", "hashes").mapInArrow(run, "a bigint, b bigint"))
+            .select("key", "unit", "text").mapInArrow(run, "a bigint, b bigint"))
 
 
-def exact_components(loose: DataFrame, sizes: DataFrame, load_sets, percent: int,
+def exact_components(loose: DataFrame, sizes: DataFrame, load_texts, to_sets, percent: int,
                      max_hashes: int, max_broadcast: int = 64 << 20) -> DataFrame:
     """(unit, component) of every unit that has a verified link.
 
     ``loose(a, b, node)``: candidate links and the node that proposed them;
-    ``sizes(unit, n)``: set sizes; ``load_sets(members, small)`` adds the
-    column ``hashes`` to ``members(key, unit)``; ``small`` says that the
+    ``sizes(unit, n)``: set sizes; ``load_texts(members, small)`` adds the
+    column ``text`` to ``members(key, unit)``; ``small`` says that the
     members may be broadcast (their measured size is below ``max_broadcast``).
 
     Groups are the components of the loose links.  A group with more than
@@ -124,7 +129,8 @@ def exact_components(loose: DataFrame, sizes: DataFrame, load_sets, percent: int
         inside = inside.unionByName(dealt.select("key", F.col("a").alias("unit"))).unionByName(
             dealt.select("key", F.col("b").alias("unit")).distinct())
     members = materialize(inside.distinct(), "members")
-    links = materialize(verified_components(load_sets(members, members.count() * 32 <= max_broadcast), percent), "links")
+    links = materialize(verified_components(
+        load_texts(members, members.count() * 32 <= max_broadcast), to_sets, percent), "links")
     if oversize:
         return components(links).select(F.col("node").alias("unit"), "component")
     # Each group is whole: its labels are final, but for the smallest member,
