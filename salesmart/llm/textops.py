@@ -38,6 +38,7 @@ def _byte_table() -> np.ndarray:
 
 
 _FOLDED = _byte_table()
+_PLAIN = seeds(256, 1)
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -64,7 +65,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; nulls are empty rows."""
-    column = pc.fill_null(column, "")
+    column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     wide = pa.types.is_large_string(column.type)
@@ -104,13 +105,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slice_bytes: int = 1 << 20) -> np.ndarray:
-    """64-bit hashes of byte spans (A-Z folded), spans in ascending order.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slice_bytes: int = 1 << 20,
+                fold: bool = True) -> np.ndarray:
+    """64-bit hashes of byte spans (A-Z folded by default); starts and ends
+    ascend, spans may overlap.
 
     A prefix sum of byte values times powers gives every span's polynomial by
     one difference; memory is bounded by ``slice_bytes`` or the longest span.
     """
     out = np.empty(len(starts), U64)
+    table = _FOLDED if fold else _PLAIN
     lo = 0
     while lo < len(starts):
         base = int(starts[lo])
@@ -119,7 +123,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slice_by
         p = powers(_BASE, len(seg) + 1)
         q = powers(_BASE_INVERSE, len(seg) + 1)
         sums = np.zeros(len(seg) + 1, U64)
-        np.cumsum(_FOLDED[seg] * p[: len(seg)], out=sums[1:])
+        np.cumsum(table[seg] * p[: len(seg)], out=sums[1:])
         s, e = starts[lo:hi] - base, ends[lo:hi] - base
         out[lo:hi] = mix64((sums[e] - sums[s]) * q[s] + (e - s).astype(U64))
         lo = hi
