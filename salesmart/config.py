@@ -58,6 +58,7 @@ class SourceConfig:
     path: str = ""
     delimiter: str = ","
     encoding: str = "utf-8"
+    multiline: bool = False  # quoted line breaks; such files cannot be split
     date_format: str = DEFAULT_DATE_FORMAT
     column_map: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_COLUMN_MAP))
 
@@ -93,3 +94,5 @@ class EtlConfig:
     # on the calendar then prune fact files through dynamic partition
     # pruning.  Worth it when each day holds large files.
     partition_fact_by_date: bool = False
+    # Refuse a load that breaks the warehouse constraints.
+    enforce_constraints: bool = True

@@ -24,7 +24,7 @@ def date_bounds(df: DataFrame, date_col: str = "date") -> tuple[date, date]:
     """Min and max valid date (one 1-row aggregate)."""
     row = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     if row is None or row["lo"] is None:
-        raise ValueError(f"No valid dates found in column {date_col!r} to build date dimension.")
+        raise ValueError(f"Column {date_col!r} holds no date, so there is no calendar.")
     return row["lo"], row["hi"]
 
 
@@ -57,7 +57,7 @@ def build_date_dimension(df: DataFrame, date_col: str = "date",
         lo, hi = bounds
         if lo is None:
             raise ValueError(
-                f"No valid dates found in column {date_col!r} to build date dimension.")
+                f"Column {date_col!r} holds no date, so there is no calendar.")
     cal = calendar(df.sparkSession, lo, hi)
     key = (F.datediff("full_date", F.lit(lo)) + 1).cast("int").alias("date_key")
     return cal.select(key, *cal.columns)
@@ -159,7 +159,7 @@ def load_dimension_table(df: DataFrame, dim: str,
         return build_item_dimension(df, canon)
     if dim == "buyer":
         return build_buyer_dimension(df)
-    raise ValueError("Unsupported dimension: must be 'item' or 'buyer'")
+    raise ValueError(f"No dimension {dim!r}: item and buyer are known")
 
 
 def dropped_row_counts() -> dict[str, Column]:

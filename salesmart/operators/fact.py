@@ -19,21 +19,28 @@ def lookup_keys(sales: DataFrame, dim_date: DataFrame, dim_item: DataFrame,
                 dim_buyer: DataFrame) -> DataFrame:
     """Three left lookups adding date_key / item_key / buyer_key.
 
-    The calendar holds one row per day of the data's span, so its size is
-    bounded by the span, not by the row count: it is broadcast.  Item and
-    buyer dimensions grow with the data; AQE broadcasts them when their
-    runtime size is under the threshold and otherwise plans a shuffle join
-    (with skew splitting for a hot item or buyer).
+    No broadcast is forced: adaptive execution broadcasts a dimension whose
+    measured size is under the threshold and otherwise plans a shuffle join.
+    Rows with a NULL natural key can match nothing; a NULL takes a random
+    negative salt on the join key, so that such rows are spread instead of
+    meeting in one task.
     """
-    d = F.broadcast(dim_date.select(F.col("full_date").alias("__d"), "date_key"))
-    i = dim_item.select(F.col("item_code").alias("__ic"), "item_key")
-    b = dim_buyer.select(F.col("buyer_id").alias("__bid"), "buyer_key")
-    return (
-        sales.join(d, sales["date"] == F.col("__d"), "left")
-        .join(i, F.col("item_code") == F.col("__ic"), "left")
-        .join(b, F.col("buyer_id") == F.col("__bid"), "left")
-        .drop("__d", "__ic", "__bid")
-    )
+    out = sales
+    for dim, natural, key in ((dim_date, "date", "date_key"), (dim_item, "item_code", "item_key"),
+                              (dim_buyer, "buyer_id", "buyer_key")):
+        source = "full_date" if natural == "date" else natural
+        side = dim.select(F.col(source).alias("__k"), F.lit(0).alias("__s"), F.col(key))
+        salt = F.when(F.col(natural).isNull(), -1 - F.pmod(F.xxhash64(*sales.columns[:8]), F.lit(4096))).otherwise(0)
+        out = out.withColumn("__salt", salt.cast("int")).join(
+            side, (F.col(natural) == F.col("__k")) & (F.col("__salt") == F.col("__s")), "left"
+        ).drop("__k", "__s", "__salt")
+    return out
+
+
+def complete_keys():
+    """A fact row needs its three keys and a transaction id."""
+    return (F.col("date_key").isNotNull() & F.col("item_key").isNotNull()
+            & F.col("buyer_key").isNotNull() & F.col("transaction_id").isNotNull())
 
 
 def _orphan_reasons():
@@ -50,10 +57,7 @@ def split_fact(looked_up: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(fact, orphans)``.  Fact rows need all three keys and a transaction
     id; the rest are returned with the missing pieces named (the reference
     drops them, counting only missing keys)."""
-    complete = (
-        F.col("date_key").isNotNull() & F.col("item_key").isNotNull()
-        & F.col("buyer_key").isNotNull() & F.col("transaction_id").isNotNull()
-    )
+    complete = complete_keys()
     cols = []
     for c in FACT_COLUMNS:
         if c in MONEY_COLUMNS:
@@ -71,8 +75,3 @@ def split_fact(looked_up: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     return fact, orphans
 
-
-def build_fact(sales: DataFrame, dim_date: DataFrame, dim_item: DataFrame,
-               dim_buyer: DataFrame) -> DataFrame:
-    """Fact rows only (see :func:`split_fact` for the orphans)."""
-    return split_fact(lookup_keys(sales, dim_date, dim_item, dim_buyer))[0]

@@ -22,6 +22,7 @@ rank leaves the usual gap.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,13 +31,13 @@ from pyspark.sql import types as T
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
-MAX_BUCKETS = 1024
+SAMPLE_PER_BUCKET = 16
 
 
 def _n_buckets(df: DataFrame, n: int | None) -> int:
     if n is None:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(int(n), MAX_BUCKETS))
+    return max(1, int(n))
 
 
 def _sort_domain(df: DataFrame, col: str) -> tuple[Column, str]:
@@ -65,16 +66,9 @@ def _boundaries(df: DataFrame, col: str, n: int) -> tuple[list, Column]:
     if kind == "numeric":
         cuts = vals.approxQuantile("__d", probs, 1.0 / (4 * n))
     else:
-        # Non-numeric: a seeded sample of bounded size, sorted on the driver.
-        total = vals.count()
-        if total == 0:
-            return [], dom
-        # About 16 values per bucket: at most 2 * 16 * MAX_BUCKETS reach the driver.
-        target = 16 * n
-        frac = min(1.0, target / total)
-        sample = sorted(
-            r[0] for r in vals.sample(False, frac, seed=20190430).limit(2 * target).collect()
-        )
+        # Non-numeric: the values with the smallest hashes, a uniform sample
+        # whose size follows the number of buckets, sorted on the driver.
+        sample = sorted(r[0] for r in vals.orderBy(F.xxhash64("__d"), "__d").limit(SAMPLE_PER_BUCKET * n).collect())
         if not sample:
             return [], dom
         cuts = [sample[min(len(sample) - 1, int(p * len(sample)))] for p in probs]
@@ -84,8 +78,15 @@ def _boundaries(df: DataFrame, col: str, n: int) -> tuple[list, Column]:
 def _bucket(dom: Column, cuts: list) -> Column:
     if not cuts:
         return F.lit(0)
-    arr = F.array(*[F.lit(c) for c in cuts])
-    return F.size(F.filter(arr, lambda b: b < dom))
+    # Two levels: the group of cuts, then the place inside it, so that a row
+    # is compared with about 2 * sqrt(n) of n cuts.
+    width = max(1, math.isqrt(len(cuts)))
+    groups = [cuts[i: i + width] for i in range(0, len(cuts), width)]
+    tops = F.array(*[F.lit(g[-1]) for g in groups])
+    nested = F.array(*[F.array(*[F.lit(c) for c in g]) for g in groups])
+    above = F.size(F.filter(tops, lambda b: b < dom))
+    inside = F.coalesce(F.size(F.filter(F.get(nested, above), lambda b: b < dom)), F.lit(0))
+    return above * width + F.greatest(inside, F.lit(0))
 
 
 def _ordered(c: str, descending: bool, nulls_first: bool) -> Column:

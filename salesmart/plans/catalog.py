@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.config import DEFAULT_DATE_FORMAT, CanonicalizeConfig, EtlConfig
+from salesmart.config import DEFAULT_DATE_FORMAT, CanonicalizeConfig, EtlConfig, SourceConfig
 from salesmart.functions.dates import parse_date
 from salesmart.functions.text import canonical_category, clean_id
 from salesmart.operators.constraints import constraint_report
@@ -38,9 +38,9 @@ from salesmart.operators.validate import (
 from salesmart.plans import oracle as O
 from salesmart.plans import measures as M
 from salesmart.plans import views as V
-from salesmart.plans.warehouse import Warehouse, build_warehouse
-from salesmart.session import materialize
-from salesmart.sources.raw import clean_raw, profile
+from salesmart.plans.warehouse import Warehouse, build_warehouse, read_warehouse, run_pipeline
+from salesmart.session import materialize, scratch_path
+from salesmart.sources.raw import clean_raw, load_raw_data, profile
 from salesmart.sources.tables import raw_sales_text, sales_record
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -424,12 +424,18 @@ def q_status(spark, sf_dir):
     return M.buyer_status_split(_views(spark, sf_dir)["churn"])
 
 
+#: Months of the test tables' calendar, 1992-01 to 1998-08.
+_TABLE_MONTHS = 80
+
+
 @register("cohort_matrix", O.compose(
     O.CLEAN, ["coh"],
-    "SELECT * FROM (PIVOT (SELECT cohort_month, months_since_cohort, retention_rate FROM coh) "
-    "ON months_since_cohort USING max(retention_rate) GROUP BY cohort_month)"))
+    "SELECT cohort_month, " + ", ".join(
+        f'MAX(retention_rate) FILTER (WHERE months_since_cohort = {k}) AS "{k}"' for k in range(_TABLE_MONTHS))
+    + " FROM coh GROUP BY cohort_month"))
 def q_cohort_matrix(spark, sf_dir):
-    return M.cohort_matrix(_views(spark, sf_dir)["coh"])
+    months = M.calendar_months(clean_wh(spark, sf_dir).dim_date)
+    return M.cohort_matrix(_views(spark, sf_dir)["coh"], months)
 
 
 # ----------------------------------------------------------------------------
@@ -581,6 +587,42 @@ def q_fact_raw(spark, sf_dir):
     return _money_double(messy_wh(spark, sf_dir).fact)
 
 
+def _landed_loads(spark, sf_dir) -> tuple[Warehouse, str]:
+    """Two CSV files, their columns in another order and one more, loaded one
+    after the other by ``run_pipeline``; the second load runs twice."""
+    def build():
+        raw = raw_sales_text(spark, sf_dir).drop("_seq").withColumn("Remark", F.lit("x, y"))
+        raw = raw.select(*reversed(raw.columns))
+        out = scratch_path(spark, "two-loads")
+        late = F.pmod(F.xxhash64("Transaction ID", "Item Code"), F.lit(2)) == 1
+        for name, keep in (("a", ~late), ("b", late)):
+            raw.where(keep).write.option("header", True).csv(f"{out}/raw/{name}")
+        for name in ("a", "b", "b"):
+            cfg = EtlConfig(source=SourceConfig(path=f"{out}/raw/{name}"))
+            run_pipeline(spark, load_raw_data(spark, cfg.source), f"{out}/runs/{name}", cfg,
+                         warehouse_dir=f"{out}/warehouse")
+        return f"{out}/warehouse"
+
+    path = _memo(spark, ("two-loads", sf_dir), build)
+    return read_warehouse(spark, path), path
+
+
+_TWO_LOADS = f"""
+SELECT d.full_date, i.item_code, b.buyer_id, f.* EXCLUDE (date_key, item_key, buyer_key)
+FROM ({_FACT_OUT}) f JOIN dim_date d USING (date_key) JOIN dim_item i USING (item_key)
+JOIN dim_buyer b USING (buyer_key)"""
+
+
+@register("pipeline_two_loads", O.messy(_TWO_LOADS))
+def q_pipeline_two_loads(spark, sf_dir):
+    wh = _landed_loads(spark, sf_dir)[0]
+    rows = (wh.fact.join(wh.dim_date.select("date_key", "full_date"), "date_key")
+            .join(wh.dim_item.select("item_key", "item_code"), "item_key")
+            .join(wh.dim_buyer.select("buyer_key", "buyer_id"), "buyer_key"))
+    return _money_double(rows.select("full_date", "item_code", "buyer_id",
+                                     *[c for c in wh.fact.columns if not c.endswith("_key")]))
+
+
 _ORPHANS = f"""
 SELECT {_rec_select()}, date_key, item_key, buyer_key,
        concat_ws(',', CASE WHEN date_key IS NULL THEN 'date_key' END,

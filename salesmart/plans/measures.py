@@ -252,11 +252,14 @@ def buyer_status_split(churn: DataFrame) -> DataFrame:
     return churn.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_buyers"))
 
 
-def cohort_matrix(cohorts: DataFrame) -> DataFrame:
-    """Cohorts as rows, months since cohort as columns, retention as
-    values.  The column set is the months present (bounded by the span)."""
-    return (
-        cohorts.groupBy("cohort_month")
-        .pivot("months_since_cohort")
-        .agg(F.max("retention_rate"))
-    )
+def cohort_matrix(cohorts: DataFrame, n_months: int) -> DataFrame:
+    """Cohorts as rows, months since cohort (0 .. n_months - 1, the months
+    of the calendar) as columns, retention as values."""
+    cell = lambda k: F.max(F.when(F.col("months_since_cohort") == k, F.col("retention_rate")))
+    return cohorts.groupBy("cohort_month").agg(*[cell(k).alias(str(k)) for k in range(n_months)])
+
+
+def calendar_months(dim_date: DataFrame) -> int:
+    """Months from the first to the last of the calendar (one row)."""
+    months = F.col("year") * 12 + F.col("month")
+    return dim_date.agg((F.max(months) - F.min(months) + 1).cast("int")).first()[0] or 0

@@ -48,8 +48,8 @@ def vw_date(dim_date: DataFrame) -> DataFrame:
 
 
 def _dates(dim_date: DataFrame, *cols: str) -> DataFrame:
-    """Broadcast slice of the calendar view (bounded by the date span)."""
-    return F.broadcast(vw_date(dim_date).select("date_key", *cols))
+    """Slice of the calendar view; adaptive execution broadcasts it if small."""
+    return vw_date(dim_date).select("date_key", *cols)
 
 
 def sales_daily(dim_date: DataFrame, fact: DataFrame) -> DataFrame:

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
+import time
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.config import EtlConfig
 from salesmart.operators import dims as dims_op
-from salesmart.operators.fact import lookup_keys, split_fact
+from salesmart.operators.constraints import assert_constraints, constraint_report
+from salesmart.operators.fact import FACT_COLUMNS, complete_keys, lookup_keys, split_fact
 from salesmart.operators.validate import drop_rate, flag_rows, gate
+from salesmart.sources.raw import profile
 
 log = logging.getLogger("salesmart")
 
@@ -85,21 +89,13 @@ def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
     """S3: the four tables back from Parquet (a fact stored per day gets its
     columns back in the usual order; ``date_key`` is then the partition
     column, so calendar filters prune fact folders)."""
-    from salesmart.operators.fact import FACT_COLUMNS
-
     t = {n: spark.read.parquet(f"{path.rstrip('/')}/{n}") for n in TABLE_NAMES}
     fact = t["fact_sales"]
-    extra = [c for c in fact.columns if c not in FACT_COLUMNS]
+    extra = [c for c in fact.columns if c not in (*FACT_COLUMNS, "load_id")]
     fact = fact.select(*FACT_COLUMNS, *extra)
     return Warehouse(t["dim_date"], t["dim_item"], t["dim_buyer"], fact)
 
 
-def write_warehouse(wh: Warehouse, path: str, mode: str = "overwrite") -> None:
-    """The four tables as Parquet (parallel file writes)."""
-    for name, df in wh.tables().items():
-        df.write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
-
-
 # ----------------------------------------------------------------------------
 # End-to-end run with sinks
 # ----------------------------------------------------------------------------
@@ -126,37 +122,50 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> None:
         w.format(fmt).save(path)
 
 
+def default_load_id(raw: DataFrame) -> str:
+    """An id of the input files' names: the same files load as the same load.
+    Rows that come from no file are a load of their own."""
+    files = sorted(raw.inputFiles())
+    text = "\n".join(files) if files else uuid.uuid4().hex
+    return "l" + hashlib.sha1(text.encode()).hexdigest()[:16]
+
+
+def assert_unique(df: DataFrame, key: str, name: str) -> None:
+    """Each non-null natural key once, or the key lookup would multiply rows."""
+    bad = df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(5).collect()
+    if bad:
+        raise ValueError(f"{name}.{key} is not unique, e.g. {', '.join(str(r[0]) for r in bad)}")
+
+
+NATURAL_KEYS = {"dim_date": "full_date", "dim_item": "item_code", "dim_buyer": "buyer_id"}
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
-                 cfg: EtlConfig | None = None, fact_mode: str = "overwrite",
-                 fact_path: str | None = None,
+                 cfg: EtlConfig | None = None, load_id: str | None = None,
                  warehouse_dir: str | None = None) -> RunResult:
     """Raw text record -> processed files -> warehouse tables.
 
-    Order of effects (the gate raises after the cleaned file and the
-    dimension files exist, before anything reaches the warehouse):
+    Order of effects (nothing reaches the warehouse before step 6):
 
     1. S5 ``processed/orders_cleaned``: the typed record, written once; every
        later step reads this file instead of re-running the raw scan.
     2. S6 ``processed/dim_*``: calendar, items, buyers from all rows.
     3. E14 gate: one aggregate over the flagged rows; ValueError if too many
        are rejected.  S7 ``validated_fact_data`` and, only when some rows
-       fail, ``rejected_rows`` (the count is already known — no extra job).
+       fail, ``rejected_rows``.
     4. S9 dry run stops here.
-    5. E16 warehouse dimensions: only unseen natural keys are appended, keys
-       continue after the current maximum; known keys are never updated.
-    6. E17 fact: keys looked up against the warehouse dimensions as stored;
-       rows without a key or a transaction id go to ``processed/fact_orphans``.
-       ``fact_mode="append"`` adds to an existing fact (not idempotent,
-       like the reference); the default replaces it.  ``fact_path`` writes
-       the fact somewhere else (the streaming loader writes one folder per
-       micro-batch so a retried batch replaces its own output).
+    5. E16/E17: unseen natural keys get keys after the current maximum, the
+       rows are looked up against stored plus new dimension rows, and both are
+       staged below ``processed``.  Natural keys must be unique, and (unless
+       ``cfg.enforce_constraints`` is off) the staged load must meet the
+       warehouse constraints; else ValueError and an unchanged warehouse.
+    6. New dimension rows are appended, and the fact rows written to the
+       folder ``fact_sales/load_id=<load_id>``: another load adds, the same
+       load (by default: the same input files) replaces its own rows.  Rows
+       without a key or a transaction id go to ``processed/fact_orphans``.
     """
-    from salesmart.operators.fact import lookup_keys, split_fact
-    from salesmart.operators.validate import flag_rows, gate
-
-    import time
-
     cfg = cfg or EtlConfig()
+    load_id = load_id or default_load_id(raw)
     fmt = cfg.output_format
     base = out_dir.rstrip("/")
     timings: dict[str, float] = {}
@@ -174,8 +183,6 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     raw.write.mode("overwrite").parquet(cleaned_path)  # lineage cut: one raw scan
     cleaned = spark.read.parquet(cleaned_path)
     if log.isEnabledFor(logging.INFO):
-        from salesmart.sources.raw import profile
-
         for r in profile(cleaned).collect():  # one row per column
             log.info(" - %s: %s, nulls: %d.", r.column_name, r.data_type, r.n_nulls)
     lap("cleaned")
@@ -184,7 +191,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
 
     # One pass over the cleaned record: calendar bounds, validation totals
     # and the rows the dimension builds drop (the gate itself is applied
-    # below, after the dimension files exist, as in the reference).
+    # below, after the dimension files exist).
     flagged = flag_rows(cleaned, cfg.validation)
     n_valid = F.count_if(F.col("is_valid"))
     one = flagged.agg(
@@ -215,8 +222,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     gate(stats, cfg.validation)
     lap("gate")
     valid = flagged.where("is_valid").drop("is_valid", "reject_reasons")
-    valid_out = valid.drop("_seq")
-    _write(valid_out, f"{proc}/validated_fact_data", fmt)
+    _write(valid.drop("_seq"), f"{proc}/validated_fact_data", fmt)
     if stats["n_rejected"] > 0:
         rejected = flagged.where(~F.col("is_valid")).drop("is_valid", "_seq")
         if fmt == "csv":
@@ -229,55 +235,59 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     counts.update(dropped)
     if cfg.dry_run:
         for name in dims:
-            counts[f"{name}_rows"] = spark.read.format(fmt).load(f"{proc}/{name}").count() \
-                if fmt == "parquet" else None
-        log.info("DRY RUN complete: %s. Nothing written to the warehouse.", counts)
+            counts[f"{name}_rows"] = (spark.read.format(fmt).option("header", True)
+                                      .load(f"{proc}/{name}").count())
+        log.info("Dry run, warehouse untouched: %s.", counts)
         return RunResult(proc, None, counts)
 
-    # Append unseen natural keys to the warehouse dimensions.
+    # Unseen natural keys, staged; the warehouse is not touched yet.
     staged = {n: spark.read.parquet(f"{proc}/{n}") for n in dims} if fmt == "parquet" else dims
     incremental = {
         "dim_date": dims_op.new_dates,
         "dim_item": dims_op.new_items,
         "dim_buyer": dims_op.new_buyers,
     }
+    full, fresh = {}, {}
     for name, add in incremental.items():
-        path = f"{wdir}/{name}"
-        if _exists(spark, path):
-            fresh = add(staged[name], spark.read.parquet(path))
-            fresh.write.mode("append").parquet(path)
-        else:
-            staged[name].write.mode("overwrite").parquet(path)
-    lap("warehouse_dims")
-
-    stored = {n: spark.read.parquet(f"{wdir}/{n}") for n in dims}
+        assert_unique(staged[name], NATURAL_KEYS[name], name)
+        stored = spark.read.parquet(f"{wdir}/{name}") if _exists(spark, f"{wdir}/{name}") else None
+        rows = staged[name] if stored is None else add(staged[name], stored)
+        rows.write.mode("overwrite").parquet(f"{proc}/new_{name}")
+        fresh[name] = spark.read.parquet(f"{proc}/new_{name}")
+        full[name] = fresh[name] if stored is None else stored.unionByName(fresh[name])
+    lap("new_dims")
+
+    # The lookup joins run once; fact and orphans are two folders of one write.
     looked = lookup_keys(spark.read.parquet(f"{proc}/validated_fact_data")
-                         if fmt == "parquet" else valid,
-                         stored["dim_date"], stored["dim_item"], stored["dim_buyer"])
-    # Two sinks read the same lookup joins: keep the joined rows (memory, then
-    # local disk) so the fact-sized joins run once.  A lost block is
-    # recomputed from the (deterministic) lineage.
-    looked = looked.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fact, orphans = split_fact(looked)
-        writer = fact
-        if cfg.partition_fact_by_date:
-            # REBALANCE: AQE splits a hot day over several writers and packs
-            # small days together, so files stay near the advisory size.
-            writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
-        else:
-            writer = fact.write
-        writer.mode(fact_mode).parquet(fact_path or f"{wdir}/fact_sales")
-        orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
-        n_orphans = spark.read.parquet(f"{proc}/fact_orphans").count()
-        counts["n_orphans"] = n_orphans
-        if n_orphans:
-            log.warning("%d validated rows have no key or transaction id (fact_orphans).",
-                        n_orphans)
-    finally:
-        looked.unpersist()
+                         if fmt == "parquet" else valid.drop("_seq"),
+                         full["dim_date"], full["dim_item"], full["dim_buyer"])
+    looked.withColumn("is_orphan", (~complete_keys()).cast("int")).write.mode("overwrite").partitionBy(
+        "is_orphan").parquet(f"{proc}/looked_up")
+    looked = spark.read.parquet(f"{proc}/looked_up")
+    fact = split_fact(looked.where("is_orphan = 0").drop("is_orphan"))[0]
+    orphans = split_fact(looked.where("is_orphan = 1").drop("is_orphan"))[1]
+    lap("lookup")
+    if cfg.enforce_constraints:
+        assert_constraints(constraint_report(full["dim_date"], full["dim_item"], full["dim_buyer"], fact))
+        lap("constraints")
+
+    for name, df in fresh.items():
+        df.write.mode("append").parquet(f"{wdir}/{name}")
+    if cfg.partition_fact_by_date:
+        # REBALANCE: AQE splits a hot day over several writers and packs
+        # small days together, so files stay near the advisory size.
+        writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
+    else:
+        writer = fact.write
+    writer.mode("overwrite").parquet(f"{wdir}/fact_sales/load_id={load_id}")
+    orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
+    n_orphans = spark.read.parquet(f"{proc}/fact_orphans").count()
+    counts["n_orphans"] = n_orphans
+    if n_orphans:
+        log.warning("%d validated rows have no key or transaction id (fact_orphans).", n_orphans)
     lap("fact")
     counts["timings"] = timings
+    counts["load_id"] = load_id
     log.info("run_pipeline timings: %s", timings)
     return RunResult(proc, wdir, counts)
 

@@ -17,32 +17,30 @@ from salesmart.config import (
 from salesmart.functions.dates import parse_date
 from salesmart.functions.text import clean_id, null_na_tokens
 
-# Parsed money keeps more precision than the warehouse type so that the
-# tolerance checks see the file's values; the fact rounds to decimal(14,2).
-# Precision 18 keeps Spark on its long-backed (fast) decimal path.
-PARSED_MONEY = "decimal(18,4)"
+# Parsed money keeps the file's decimals, so that the tolerance checks see its
+# values; the fact rounds to decimal(14,2).
+PARSED_MONEY = "decimal(28,10)"
 
 
 def read_raw_csv(spark: SparkSession, cfg: SourceConfig,
                  headers: list[str] | None = None) -> DataFrame:
     """Header + delimiter + encoding, every column read as text.
 
-    An explicit all-string schema avoids the inference pass over the file.
+    Columns are bound by name: the names come from the file's header, in
+    whatever order, and columns beyond the map are ignored.  Files of one load
+    must agree in their header (a differing one is an error, not a mix-up).
+    Quoted line breaks need ``cfg.multiline``, which makes a file unsplittable.
     A ``_seq`` column records file order (file path, then position) for
     "first value in the file" aggregates.
     """
-    names = headers or list(cfg.column_map.values())
+    options = {"header": True, "sep": cfg.delimiter, "encoding": cfg.encoding, "quote": '"',
+               "escape": '"', "enforceSchema": False, "multiLine": cfg.multiline}
+    names = headers or spark.read.options(**options).csv(cfg.path).columns
+    missing = set(cfg.column_map.values()) - set(names)
+    if missing:
+        raise ValueError(f"Columns not in the file: {sorted(missing)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", cfg.delimiter)
-        .option("encoding", cfg.encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(cfg.path)
-    )
+    df = spark.read.schema(schema).options(**options).csv(cfg.path)
     seq = F.struct(
         F.col("_metadata.file_path").alias("f"),
         F.monotonically_increasing_id().alias("i"),

@@ -16,6 +16,7 @@ were consumed) lives in the stream's checkpoint, below the shared
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -28,9 +29,18 @@ from salesmart.sources.raw import clean_raw
 
 def raw_stream(spark: SparkSession, in_dir: str, cfg: EtlConfig,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """All-text stream of the raw files arriving in ``in_dir``."""
+    """All-text stream of the raw files arriving in ``in_dir``.
+
+    Column names come from the header of a file that is there at the start
+    (else from the map); a later file with another header is an error."""
     src = cfg.source
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in src.column_map.values()])
+    names = list(src.column_map.values())
+    try:
+        names = spark.read.option("header", True).option("sep", src.delimiter).option(
+            "encoding", src.encoding).csv(in_dir).columns or names
+    except AnalysisException:  # nothing there yet
+        pass
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
@@ -38,6 +48,7 @@ def raw_stream(spark: SparkSession, in_dir: str, cfg: EtlConfig,
         .option("encoding", src.encoding)
         .option("quote", '"')
         .option("escape", '"')
+        .option("enforceSchema", False)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -60,7 +71,7 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, cfg: EtlConfig
                        F.monotonically_increasing_id().alias("i"))
         raw = batch.withColumn("_seq", seq) if "_metadata" in batch.columns else batch
         run_pipeline(spark, clean_raw(raw, cfg.source), f"{base}/batches/{epoch_id}", cfg,
-                     fact_path=f"{base}/warehouse/fact_sales/batch_id={epoch_id}",
+                     load_id=f"batch{epoch_id}",
                      warehouse_dir=f"{base}/warehouse")
 
     stream = raw_stream(spark, in_dir, cfg, max_files_per_trigger).select("*", "_metadata")

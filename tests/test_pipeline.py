@@ -93,3 +93,69 @@ def test_fact_partitioned_by_day_prunes_through_calendar(spark, tmp_path):
     # scan is pruned by day.  The return-rate view keeps a window over all of
     # an item's months, which a month filter must not cross: no pruning there.
     assert "dynamicpruning" in plans["daily"]
+
+
+def _csv(spark, path, rows, **changes):
+    """A small order file; ``changes`` replaces cells of its first row."""
+    from salesmart.config import DEFAULT_COLUMN_MAP
+
+    base = {"item_name": "Lamp", "category": "home", "version": "A", "item_code": "L-1", "item_id": "5",
+            "buyer_id": "9", "transaction_id": "1", "date": "3/4/2021", "final_quantity": "1",
+            "total_revenue": "10.00", "price_reductions": "0", "refunds": "0", "final_revenue": "10.00",
+            "sales_tax": "1.00", "overall_revenue": "11.00", "refunded_item_count": "0",
+            "purchased_item_count": "1"}
+    made = []
+    for i in range(rows):
+        row = base | {"transaction_id": str(i + 1), "item_code": f"L-{i % 2}"}
+        made.append(row | (changes if i == 0 else {}))
+    names = list(DEFAULT_COLUMN_MAP)
+    df = spark.createDataFrame([tuple(r[n] for n in names) for r in made],
+                               ", ".join(f"`{DEFAULT_COLUMN_MAP[n]}` string" for n in names))
+    df.coalesce(1).write.option("header", True).csv(path)
+    return EtlConfig(source=SourceConfig(path=path))
+
+
+def test_another_file_adds_and_the_same_file_replaces(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one, two = _csv(spark, str(tmp_path / "one"), 4), _csv(spark, str(tmp_path / "two"), 3, date="9/4/2021")
+    for cfg in (one, two, two):
+        run_pipeline(spark, load_raw_data(spark, cfg.source), out, cfg)
+    wh = read_warehouse(spark, f"{out}/warehouse")
+    assert wh.fact.count() == 7
+    assert wh.dim_item.count() == 2 and wh.dim_buyer.count() == 1
+
+
+def test_a_load_that_breaks_a_rule_leaves_the_warehouse_as_it_was(spark, tmp_path):
+    import pytest
+
+    from salesmart.config import CanonicalizeConfig
+
+    out = str(tmp_path / "out")
+    good = _csv(spark, str(tmp_path / "good"), 4)
+    run_pipeline(spark, load_raw_data(spark, good.source), out, good)
+    # 0.015 off passes the tolerance of 0.02 but not the warehouse's rule.
+    off = _csv(spark, str(tmp_path / "off"), 4, final_revenue="10.015", overall_revenue="11.015")
+    with pytest.raises(ValueError, match="ck_revenue_1"):
+        run_pipeline(spark, load_raw_data(spark, off.source), out, off)
+    # Two versions of one item, passed through: a lookup would double its rows.
+    twice = _csv(spark, str(tmp_path / "twice"), 4, version="B")
+    through = EtlConfig(source=twice.source, canonicalize=CanonicalizeConfig(item_attributes="distinct"))
+    with pytest.raises(ValueError, match="not unique"):
+        run_pipeline(spark, load_raw_data(spark, twice.source), out, through)
+    wh = read_warehouse(spark, f"{out}/warehouse")
+    assert (wh.fact.count(), wh.dim_date.count(), wh.dim_item.count()) == (4, 1, 2)
+
+
+def test_columns_are_bound_by_header_name(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "mixed")
+    cfg = _csv(spark, str(tmp_path / "plain"), 2)
+    df = spark.read.option("header", True).csv(cfg.source.path).withColumn("Note", F.lit("z"))
+    df.select(*reversed(df.columns)).coalesce(1).write.option("header", True).csv(path)
+    rows = load_raw_data(spark, SourceConfig(path=path)).drop("_seq")
+    same = load_raw_data(spark, cfg.source).drop("_seq")
+    assert sorted(rows.collect()) == sorted(same.collect())
+    df.drop("Note", df.columns[0]).coalesce(1).write.option("header", True).csv(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="not in the file"):
+        load_raw_data(spark, SourceConfig(path=str(tmp_path / "short")))

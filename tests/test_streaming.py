@@ -22,7 +22,7 @@ def test_two_files_two_batches_match_one_batch(spark, tmp_path):
     q.awaitTermination(300)
     assert q.exception() is None
     fact = spark.read.parquet(f"{out}/warehouse/fact_sales")
-    assert fact.select("batch_id").distinct().count() == 2
+    assert fact.select("load_id").distinct().count() == 2
     assert fact.count() == 6000 - 18 - 12  # rejected rows and orphans excluded
     buyers = spark.read.parquet(f"{out}/warehouse/dim_buyer")
     assert buyers.count() == buyers.select("buyer_id").distinct().count()
