@@ -157,48 +157,55 @@ def score_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id",
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, p = None, 0.0  # the rows of a word stand together
         for b in batches:
+            if not b.num_rows:
+                continue
             coded = b["word"].dictionary_encode()
             words = coded.dictionary.to_pylist()
             logs = np.array([p if w == before else marginal(w, pieces, bytes_, longest) for w in words])
-            codes = coded.indices.to_numpy()
-            head = np.concatenate(([b.num_rows > 0 and words[codes[0]] != before], np.diff(codes) != 0))[: b.num_rows]
-            if b.num_rows:
-                before, p = words[codes[-1]], float(logs[codes[-1]])
+            codes, c = coded.indices.to_numpy(), b["c"].to_numpy()
+            new = np.concatenate(([words[codes[0]] != before], np.diff(codes) != 0)) & (c > 0)
+            before, p = words[codes[-1]], float(logs[codes[-1]])
+            # One row per chunk in the batch, its words as packed arrays.
+            chunk, local = b["chunk"].to_numpy(), b["local"].to_numpy()
+            by = np.argsort(chunk, kind="stable")
+            cuts = np.flatnonzero(np.concatenate(([True], np.diff(chunk[by]) != 0)))
+            parts = np.split(by, cuts[1:])
+            first = np.arange(len(parts)) == 0
             yield pa.RecordBatch.from_arrays(
-                [b["chunk"], b["local"], b["c"], pa.array(logs[codes]), pa.array(head)],
-                names=["chunk", "local", "c", "log_p", "head"])
+                [pa.array(chunk[by[cuts]]), pa.array([local[k].tobytes() for k in parts], pa.binary()),
+                 pa.array([c[k].tobytes() for k in parts], pa.binary()),
+                 pa.array([logs[codes[k]].tobytes() for k in parts], pa.binary()),
+                 pa.array(np.where(first, new.sum(), 0)), pa.array(np.where(first, c[new].sum(), 0))],
+                names=["chunk", "locals", "cs", "logs", "v", "n"])
 
     weighed = materialize(met.select("word", "chunk", "local", "c").mapInArrow(
-        weigh, "chunk bigint, local int, c bigint, log_p double, head boolean"), "weighed")
-    seen = weighed.where("head and c > 0").agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
-    train_tokens, types = (seen.n or 0) + ends, seen.v + (1 if ends else 0)
+        weigh, "chunk bigint, locals binary, cs binary, logs binary, v bigint, n bigint"), "weighed")
+    seen = weighed.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
+    train_tokens, types = (seen.n or 0) + ends, (seen.v or 0) + (1 if ends else 0)
     floor = train_tokens + 0.1 * (types + 1)
     log_end = math.log10((ends + 0.1) / floor)
 
-    both = weighed.select("chunk", "local", "c", "log_p").unionByName(
+    both = weighed.select("chunk", "locals", "cs", "logs").unionByName(
         chunks.where("ids is not null").select("chunk", "doc_ids", "held", "lengths", "ids"), allowMissingColumns=True)
-    # Words first (their number is set), then the chunk's documents.
-    both = both.repartition("chunk").sortWithinPartitions("chunk", F.col("local").asc_nulls_last())
+    # Words first, then the chunk's documents.
+    both = both.withColumn("last", F.col("ids").isNotNull()).repartition("chunk").sortWithinPartitions("chunk", "last")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cs, logs = [], []
+        parts: list[tuple] = []
         for b in batches:
-            local = b["local"]
-            cut = np.flatnonzero(local.is_null().to_numpy(zero_copy_only=False))
-            at = 0
-            for k in [*cut.tolist(), b.num_rows]:
-                part = b.slice(at, k - at)
-                if part.num_rows:
-                    cs.append(part["c"].to_numpy())
-                    logs.append(part["log_p"].to_numpy())
-                if k < b.num_rows:
-                    yield documents({n: b[n][k].as_py() for n in ("doc_ids", "held", "lengths", "ids")}, cs, logs)
-                    cs, logs = [], []
-                at = k + 1
-
-    def documents(row: dict, cs: list, logs: list) -> pa.RecordBatch:
-        c = np.concatenate(cs) if cs else np.zeros(0, np.int64)
-        log_p = np.concatenate(logs) if logs else np.zeros(0)
+            for k, last in enumerate(b["last"].to_pylist()):
+                if last:
+                    yield documents({n: b[n][k].as_py() for n in ("doc_ids", "held", "lengths", "ids")}, parts)
+                    parts = []
+                else:
+                    parts.append((np.frombuffer(b["locals"][k].as_py(), np.int32),
+                                  np.frombuffer(b["cs"][k].as_py(), np.int64), np.frombuffer(b["logs"][k].as_py())))
+
+    def documents(row: dict, parts: list[tuple]) -> pa.RecordBatch:
+        size = sum(len(x[0]) for x in parts)
+        c, log_p = np.zeros(size, np.int64), np.zeros(size)
+        for local, own_c, own_log in parts:
+            c[local], log_p[local] = own_c, own_log
         base = np.log10((c + 0.1) / floor)
         lengths = np.frombuffer(row["lengths"], np.int64)
         raw = zstandard.ZstdDecompressor().decompress(row["ids"], max_output_size=max(1, int(lengths.sum()) * 4))
