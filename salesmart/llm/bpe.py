@@ -25,8 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm import textops as T
 from salesmart.llm.tables import only
 
+#: Text bytes that a task turns into ids before it passes them on.
+BLOCK_BYTES = 1 << 22
+
 
 @lru_cache(maxsize=4)
 def encoder(ranks_path: str, pattern: str):
@@ -82,13 +86,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks_path, pattern)
         for b in batches:
-            ids = [enc.encode_ordinary(t or "") for t in b.column(1).to_pylist()]
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(n.sum()))
-            offs = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))],
-                names=[id_col, "n_tokens", "ids"])
+            for lo, hi in T.row_blocks(T.text_buffer(b.column(1))[1], BLOCK_BYTES):
+                part = b.slice(lo, hi - lo)
+                # Ids become arrays text by text: lists of ints are 9 times larger.
+                ids = [np.array(enc.encode_ordinary(t.as_py() or ""), np.int32) for t in part.column(1)]
+                n = np.fromiter(map(len, ids), np.int64, len(ids))
+                offs = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(ids)))],
+                    names=[id_col, "n_tokens", "ids"])
 
     direct = rows.where(size <= chunk_chars).mapInArrow(short, out)
 
@@ -143,7 +149,10 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks_path, pattern)
         for b in batches:
-            raw = [enc.decode_bytes(x or []) for x in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], names=[*names, out_col])
+            sizes = b.column(at).value_lengths().fill_null(0).to_numpy()
+            for lo, hi in T.row_blocks(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), BLOCK_BYTES // 4):
+                part = b.slice(lo, hi - lo)
+                raw = [enc.decode_bytes(x.as_py() or []) for x in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=[*names, out_col])
 
     return encoded.mapInArrow(run, schema)
