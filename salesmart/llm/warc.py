@@ -270,6 +270,8 @@ def read_warc(spark: SparkSession, target: str) -> DataFrame:
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
 
-    return listed.repartition("file").mapInArrow(
+    # One task per file: a set number, as adaptive execution would put all of
+    # the manifest's small rows, and so all files, into one task.
+    return listed.repartition(max(1, listed.count())).mapInArrow(
         read, "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, "
               "payload_digest string, refers_to bigint, record_id string")
