@@ -219,13 +219,19 @@ def parse_member(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
-def members(raw: bytes) -> Iterator[bytes]:
-    """The gzip members of a file, one after another."""
-    view = memoryview(raw)
-    while len(view):
-        d = zlib.decompressobj(31)
-        yield d.decompress(view)
-        view = view[len(view) - len(d.unused_data):]
+def members(raw: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The gzip members of a file, one after another; what a member leaves of
+    a slice is read again, so the rest of the file is not copied each time."""
+    at = 0
+    while at < len(raw):
+        d, out = zlib.decompressobj(31), []
+        while not d.eof:
+            part = raw[at: at + step]
+            if not part:
+                raise ValueError("a member is cut short")
+            out.append(d.decompress(part))
+            at += len(part) - len(d.unused_data)
+        yield b"".join(out)
 
 
 def read_warc(spark: SparkSession, target: str) -> DataFrame:
