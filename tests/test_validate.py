@@ -22,16 +22,18 @@ def _df(spark, rows):
     return spark.createDataFrame(conv, SCHEMA)
 
 
-def test_validations_normal_case(spark):
-    df = _df(spark, [(100, -10, 0, 90, 9, 99, 10, 10, 0), (100, -10, 5, 95, 9, 104, 9, 10, 1)])
+def test_rows_that_break_rules_are_split_off_with_reasons(spark):
+    df = _df(spark, [("59.90", "-4.90", "-20", 35, "2.80", "37.80", 3, 4, -1),
+                     ("12.50", 0, 0, "12.50", 1, "13.50", 4, 2, 1)])
     valid, rejected = apply_validations(df, ValidationConfig(tolerance=0.01, max_error_rate=0.5))
     assert valid.count() == 1 and rejected.count() == 1
-    assert valid.first().total_revenue == Decimal("100")
+    assert valid.first().total_revenue == Decimal("59.90")
     assert sorted(rejected.first().reject_reasons) == ["quantity_balance", "refunded_nonpositive"]
 
 
-def test_drop_rate_above_max_raises(spark):
-    df = _df(spark, [(100, 0, 0, 100, 10, 110, 1, 0, 0), (200, 0, 0, 200, 20, 220, 1, 0, 0)])
+def test_too_many_rejected_rows_stop_the_load(spark):
+    good = (8, 0, 0, 8, 0, 8, 1, 1, 0)
+    df = _df(spark, [good] * 3 + [(8, 0, 0, 9, 0, 9, 1, 1, 0)])
     with pytest.raises(ValueError):
         apply_validations(df, ValidationConfig(tolerance=0.01, max_error_rate=0.1))
 
@@ -67,12 +69,12 @@ def test_disabled_checks_are_skipped(spark):
 
 def _sales(spark):
     return spark.createDataFrame(
-        [(dt.date(2025, 11, 2), "A", 1, 10, 1, Decimal(100), Decimal(0), Decimal(0), Decimal(100),
-          Decimal(10), Decimal(110), 0, 1),
-         (dt.date(2025, 11, 3), "B", 2, 20, 2, Decimal(200), Decimal(0), Decimal(0), Decimal(200),
-          Decimal(20), Decimal(220), 0, 2),
-         (dt.date(2025, 11, 4), "C", 2, None, 1, Decimal(1), Decimal(0), Decimal(0), Decimal(1),
-          Decimal(0), Decimal(1), 0, 1)],
+        [(dt.date(2022, 6, 30), "K1", 51, 7001, 3, Decimal(45), Decimal(-5), Decimal(0), Decimal(40),
+          Decimal(4), Decimal(44), 0, 3),
+         (dt.date(2022, 7, 1), "K2", 52, 7002, 1, Decimal(18), Decimal(0), Decimal(-9), Decimal(9),
+          Decimal(1), Decimal(10), -1, 2),
+         (dt.date(2022, 8, 1), "K3", 52, None, 1, Decimal(7), Decimal(0), Decimal(0), Decimal(7),
+          Decimal(0), Decimal(7), 0, 1)],
         "date date, item_code string, buyer_id bigint, transaction_id bigint, final_quantity int, "
         "total_revenue decimal(18,4), price_reductions decimal(18,4), refunds decimal(18,4), "
         "final_revenue decimal(18,4), sales_tax decimal(18,4), overall_revenue decimal(18,4), "
@@ -81,10 +83,10 @@ def _sales(spark):
 
 
 def _dims(spark):
-    dd = spark.createDataFrame([(1, dt.date(2025, 11, 2)), (2, dt.date(2025, 11, 3))],
+    dd = spark.createDataFrame([(1, dt.date(2022, 6, 30)), (2, dt.date(2022, 7, 1))],
                                "date_key int, full_date date")
-    di = spark.createDataFrame([(10, "A"), (20, "B")], "item_key bigint, item_code string")
-    db = spark.createDataFrame([(100, 1), (200, 2)], "buyer_key bigint, buyer_id bigint")
+    di = spark.createDataFrame([(10, "K1"), (20, "K2")], "item_key bigint, item_code string")
+    db = spark.createDataFrame([(100, 51), (200, 52)], "buyer_key bigint, buyer_id bigint")
     return dd, di, db
 
 
@@ -101,8 +103,8 @@ def test_fact_load_keys_and_orphans(spark):
 
 def test_constraint_report_counts_violations(spark):
     dd, di, db = _dims(spark)
-    dd = dd.select("*", F.year("full_date").alias("year"), F.lit(4).alias("quarter"),
-                   F.lit(11).alias("month"), F.lit(2).alias("day"), F.lit(False).alias("is_weekend"))
+    dd = dd.select("*", F.year("full_date").alias("year"), F.lit(3).alias("quarter"),
+                   F.lit(7).alias("month"), F.lit(2).alias("day"), F.lit(False).alias("is_weekend"))
     di = di.select("*", F.lit(1).cast("bigint").alias("item_id"), F.lit("n").alias("item_name"),
                    F.lit("c").alias("category"), F.lit("v").alias("version"))
     dd_, di_, db_ = _dims(spark)
