@@ -26,6 +26,9 @@ def link_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
     where 100 * intersection >= percent * union.  Breadth first: every member
     reached is compared once with all that are not yet reached."""
     n = len(sets)
+    if n == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return np.array([0, 0 if 100 * both >= percent * (len(sets[0]) + len(sets[1]) - both) else 1])
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
     _, ids = np.unique(flat, return_inverse=True)

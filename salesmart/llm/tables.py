@@ -14,19 +14,30 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node of ``edges(u, v)`` is a ``u`` once at most, and no
+    node is both a ``u`` and a ``v``."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    roles = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+    return roles.agg(F.max(F.col("child") + F.col("root"))).first()[0] in (None, 1)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, component), with the
     smallest node as component; nodes without an edge do not appear.
 
     Alternating large-star and small-star rounds: each round joins edges
-    with the minimum of each node's neighbours.  Every step is stored in the
+    with the minimum of each node's neighbours.  They end when every node is
+    either a root or the child of one root.  Every step is stored in the
     shared folder, so both join sides are plain shuffles that adaptive
     execution can split at a hub, and a lost executor repeats one round only.
     """
     e = materialize(edges.where("a != b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "uf-edges")
-    before = None
     for _ in range(max_rounds):
+        if _are_stars(e):
+            break
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialize(both.groupBy("u").agg(F.min("v").alias("m"))
                           .select("u", F.least("u", "m").alias("m")), "uf-low")
@@ -36,10 +47,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v")))
         e = materialize(small.where("u != v").distinct(), "uf-edges")
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     else:
         raise RuntimeError("components did not settle")
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
