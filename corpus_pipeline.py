@@ -88,7 +88,9 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer("byte_bpe_50k.tiktoken"), pre_token_pattern()
-    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    # Stored between the two, so that a task runs one Python worker, not two.
+    encoded = materialize(bpe.encode(docs, ranks, pattern), "encoded")
+    decoded = bpe.decode(encoded, ranks, pattern)
     return decoded.select(
         "doc_id", "n_tokens", "ids",
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
