@@ -146,18 +146,28 @@ def rank_over(df: DataFrame, value: str, out: str, partition_by: Sequence[str] =
     on ASC).  Every input row is kept; ``out`` is BIGINT.  ``cuts`` (from
     :func:`value_cuts`) skips the sampling pass.
     """
+    return ranks_over(df, value, {out: partition_by}, descending, nulls_first, n_buckets, cuts)
+
+
+def ranks_over(df: DataFrame, value: str, ranks: dict[str, Sequence[str]],
+               descending: bool = True, nulls_first: bool | None = None,
+               n_buckets: int | None = None, cuts: list | None = None) -> DataFrame:
+    """:func:`rank_over` for several partitionings of the same value, as
+    ``{out: partition_by}``.  Every rank is computed from ``df`` itself, not
+    from the output of the rank before it."""
     if nulls_first is None:
         nulls_first = descending
-    parts = list(partition_by)
     n = _n_buckets(df, n_buckets)
-    dist = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__w"))
-    ranks = _rank_distinct(dist, value, parts, "__w", descending, nulls_first, n, cuts)
-    keys = parts + [value]
-    ranks = ranks.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__rank").alias(out)
-    )
-    cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    return df.join(ranks, cond).select(*[F.col(c) for c in df.columns], F.col(out))
+    ranked = df
+    for out, partition_by in ranks.items():
+        keys = [*partition_by, value]
+        dist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__w"))
+        table = _rank_distinct(dist, value, list(partition_by), "__w", descending, nulls_first, n, cuts)
+        table = table.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__rank").alias(out))
+        cond = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        ranked = ranked.join(table, cond).drop(*[f"__k{i}" for i in range(len(keys))])
+    return ranked
 
 
 def dense_keys(df: DataFrame, natural_key: str, out: str, start: Column | int = 0,

@@ -283,6 +283,40 @@ def q_exec(spark, sf_dir):
     return M.exec_kpis(v["wh"].dim_date, v["daily"], v["clv"])
 
 
+_ROLLING_TOTALS = f""",
+ends AS (SELECT year_month, MAX(full_date) AS last_day FROM daily GROUP BY ROLLUP (year_month)),
+sums AS (
+  SELECT e.year_month, e.last_day AS full_date,
+         ROUND(SUM(daily_revenue) FILTER (WHERE d.full_date > last_day - 7), 2) AS revenue_7d,
+         ROUND(SUM(daily_revenue) FILTER (WHERE d.full_date <= last_day - 7), 2) AS revenue_prior_7d,
+         CAST(SUM(daily_orders) FILTER (WHERE d.full_date > last_day - 7) AS BIGINT) AS orders_7d,
+         CAST(SUM(daily_orders) FILTER (WHERE d.full_date <= last_day - 7) AS BIGINT) AS orders_prior_7d
+  FROM ends e JOIN daily d ON d.full_date BETWEEN last_day - 13 AND last_day
+  GROUP BY e.year_month, e.last_day),
+buyers AS (
+  SELECT e.year_month, e.last_day AS full_date,
+         NULLIF(COUNT(*) FILTER (WHERE last_purchase_date >= last_day - 7), 0) AS active_buyers_7d,
+         NULLIF(COUNT(*) FILTER (WHERE last_purchase_date <= last_day - 7), 0) AS active_buyers_prior_7d
+  FROM ends e JOIN clv ON last_purchase_date BETWEEN last_day - 14 AND last_day
+  GROUP BY e.year_month, e.last_day),
+vals AS (
+  SELECT s.*, CASE WHEN orders_7d <> 0 THEN revenue_7d / CAST(orders_7d AS DOUBLE) END AS aov_7d,
+         CASE WHEN orders_prior_7d <> 0 THEN revenue_prior_7d / CAST(orders_prior_7d AS DOUBLE) END AS aov_prior_7d,
+         active_buyers_7d, active_buyers_prior_7d
+  FROM sums s LEFT JOIN buyers b
+    ON b.full_date = s.full_date AND b.year_month IS NOT DISTINCT FROM s.year_month)
+SELECT *, {_chg('revenue_7d', 'revenue_prior_7d')}, {_chg('orders_7d', 'orders_prior_7d')},
+       {_chg('aov_7d', 'aov_prior_7d')}, {_chg('active_buyers_7d', 'active_buyers_prior_7d')}
+FROM vals"""
+
+
+@register("rolling_totals", O.compose(O.CLEAN, ["daily", "clv"], _ROLLING_TOTALS))
+def q_rolling_totals(spark, sf_dir):
+    """Rolling measures at the last day of each month and of the calendar."""
+    v = _views(spark, sf_dir)
+    return M.rolling_totals(v["wh"].dim_date, v["daily"], v["clv"])
+
+
 _TOTALS = """,
 tk AS (
   SELECT

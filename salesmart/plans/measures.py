@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import ratio
+from salesmart.plans.views import vw_date
 
 
 def _money(c: Column) -> Column:
@@ -132,6 +133,21 @@ def exec_kpis(dim_date: DataFrame, sales_daily: DataFrame, clv: DataFrame) -> Da
     )
 
 
+def rolling_totals(dim_date: DataFrame, sales_daily: DataFrame, clv: DataFrame,
+                   by: str = "year_month", where: Column | None = None) -> DataFrame:
+    """M2, M3, M5–M7, M10, M11 in the context of each calendar period ``by``
+    and in total (``by`` NULL): the windows end on the context's last day,
+    and reach beyond the period where it is shorter than they are.
+
+    ``where`` is a filter on the calendar (a slicer): it moves the last day,
+    but not the days that a window covers."""
+    days = vw_date(dim_date) if where is None else vw_date(dim_date).where(where)
+    kpis = exec_kpis(dim_date, sales_daily, clv)
+    at_end = F.max_by(F.struct(*kpis.columns), "full_date").alias("kpis")
+    return (kpis.join(days.select("full_date", by), "full_date")
+            .rollup(by).agg(at_end).select(by, "kpis.*"))
+
+
 def total_kpis(sales_daily: DataFrame, dim_buyer: DataFrame, churn: DataFrame,
                item_perf: DataFrame, promo: DataFrame, returns_item: DataFrame) -> DataFrame:
     """Whole-model values of M1, M4, M8, M9, M12–M16, M20–M22 (one row).

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import dates as D
 from salesmart.functions.numeric import as_double, ratio, ratio_or_zero
-from salesmart.operators.keys import rank_over, value_cuts
+from salesmart.operators.keys import ranks_over, value_cuts
 from salesmart.session import materialize
 
 
@@ -72,12 +72,11 @@ def sales_daily(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
 def clv_per_buyer(dim_date: DataFrame, dim_buyer: DataFrame, fact: DataFrame) -> DataFrame:
     """V3: lifetime value per buyer, every buyer present.
 
-    The as-of date is the last purchase date over all facts — a scalar
-    subquery over the per-buyer aggregate instead of a cross join.  The
-    aggregate (one row per buyer) is materialised once, so the subquery and
-    the main plan read it instead of scanning the fact twice.
+    The as-of date is the last calendar day that the fact has: a scalar
+    subquery that reads only the fact's ``date_key``.  Nothing is stored, so
+    the view follows the tables it reads.
     """
-    per = materialize(
+    per = (
         fact.join(_dates(dim_date, "full_date"), "date_key")
         .groupBy("buyer_key")
         .agg(
@@ -85,10 +84,10 @@ def clv_per_buyer(dim_date: DataFrame, dim_buyer: DataFrame, fact: DataFrame) ->
             F.countDistinct("transaction_id").alias("orders"),
             F.min("full_date").alias("first_purchase_date"),
             F.max("full_date").alias("last_purchase_date"),
-        ),
-        "clv-per-buyer",
+        )
     )
-    as_of = per.select(F.max("last_purchase_date")).scalar()
+    sold = fact.select("date_key").distinct().join(_dates(dim_date, "full_date"), "date_key")
+    as_of = sold.select(F.max("full_date")).scalar()
     orders = F.coalesce(F.col("orders"), F.lit(0))
     last = F.col("last_purchase_date")
     return dim_buyer.select("buyer_key", "buyer_id").join(per, "buyer_key", "left").select(
@@ -248,15 +247,14 @@ def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
     """V8: per-item revenue, quantities, return rate, discount share, overall
     and in-category revenue rank (RANK, gaps on ties, NULLs first).
 
-    Ranks use the distributed :func:`rank_over` (no single-partition sort).
+    Ranks use the distributed :func:`ranks_over` (no single-partition sort).
     The per-item aggregate is referenced by both ranks (sampling, distinct
     values, join-back) and by the output, so it is materialised once: the
     fact is scanned a single time."""
     base = materialize(_item_totals(dim_item, fact), "item-performance")
     cuts = value_cuts(base, "total_revenue")  # one sampling pass for both ranks
-    ranked = rank_over(base, "total_revenue", "revenue_rank", cuts=cuts)
-    ranked = rank_over(ranked, "total_revenue", "revenue_rank_in_category",
-                       partition_by=["category"], cuts=cuts)
+    ranked = ranks_over(base, "total_revenue", {
+        "revenue_rank": [], "revenue_rank_in_category": ["category"]}, cuts=cuts)
     return ranked.select(*_item_metric_columns(), "revenue_rank", "revenue_rank_in_category")
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.operators.dims import build_date_dimension
 from salesmart.plans import measures as M
@@ -117,6 +118,25 @@ def test_rolling_and_active_buyer_windows(spark, wh):
     assert act[day(14)].active_buyers_prior_7d == 1  # window [day0, day7]
 
 
+def test_rolling_totals_end_on_the_last_day_of_their_context(spark, wh):
+    daily, clv = V.sales_daily(wh[0], wh[3]), V.clv_per_buyer(wh[0], wh[2], wh[3])
+    got = {r.year_month: r for r in M.rolling_totals(wh[0], daily, clv).collect()}
+    assert {k: r.full_date for k, r in got.items()} == {
+        "2019-01": day(30), "2019-02": day(40), None: day(40)}
+    assert got[None].revenue_7d == 30.0 and got[None].orders_7d == 2 and got[None].aov_7d == 15.0
+    assert got["2019-01"].revenue_7d == 0.0 and got["2019-01"].aov_7d is None
+    assert got[None].active_buyers_7d == 2 and got["2019-01"].active_buyers_7d is None
+    cut = M.rolling_totals(wh[0], daily, clv, where=F.col("full_date") <= F.lit(day(13)))
+    assert {r.year_month: r.revenue_7d for r in cut.collect()} == {"2019-01": 90.0, None: 90.0}
+
+
+def test_buyer_view_follows_its_tables_and_stores_nothing(spark, wh, monkeypatch):
+    monkeypatch.setattr(V, "materialize", None)  # a call would fail
+    later = wh[3].where("date_key <= 11")
+    rows = {r.buyer_id: r for r in V.clv_per_buyer(wh[0], wh[2], later).collect()}
+    assert rows[11].days_since_last_purchase == 10 and rows[44].is_never_purchased
+
+
 def test_measure_totals(spark, wh):
     dim_date, dim_item, dim_buyer, fact = wh
     clv = V.clv_per_buyer(dim_date, dim_buyer, fact)
