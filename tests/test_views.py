@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart.operators.constraints import constraint_report
 from salesmart.operators.dims import build_date_dimension
 from salesmart.plans import measures as M
 from salesmart.plans import views as V
@@ -166,3 +167,19 @@ def test_generic_measure_filter_context(spark, wh):
     assert by_cat["Cat1"].return_rate == 1 / 5 and by_cat[None].return_rate is None
     pm = M.measure(V.promo_revenue_daily(dim_date, fact), M.promo_measures()).first()
     assert pm.promo_revenue == 90.0 and pm.promo_share == pytest.approx(90 / 260)
+
+
+def test_constraint_report_counts_every_broken_row(spark, wh):
+    dim_date, dim_item, dim_buyer, fact = wh
+    stray = fact.where("transaction_id = 100").withColumns({
+        "item_key": F.lit(99).cast("bigint"), "buyer_key": F.lit(None).cast("bigint"),
+        "final_quantity": F.lit(7), "refunded_item_count": F.lit(1)})
+    twice = dim_buyer.unionByName(dim_buyer.where("buyer_id = 44"))
+    got = {(r.table_name, r.constraint_name): r.violations
+           for r in constraint_report(dim_date, dim_item, twice, fact.unionByName(stray)).collect()}
+    broken = {k: v for k, v in got.items() if v}
+    assert broken == {
+        ("dim_buyer", "unique_buyer_id"): 1, ("dim_buyer", "unique_buyer_key"): 1,
+        ("fact_sales", "fk_item_key"): 2, ("fact_sales", "fk_buyer_key"): 2,
+        ("fact_sales", "not_null_buyer_key"): 2, ("fact_sales", "ck_qty"): 2,
+        ("fact_sales", "ck_refunded"): 2}
