@@ -137,7 +137,8 @@ def build_item_dimension(df: DataFrame, canon: CanonicalizeConfig | None = None,
         # constraint report flags); order by code, then the other attributes.
         sort_key = F.concat_ws(
             "\u0000",
-            *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ITEM_DIM_COLUMNS[1:]],
+            # A value is marked, so that NULL and an empty text are told apart.
+            *[F.coalesce(F.concat(F.lit("\u0001"), F.col(c).cast("string")), F.lit("")) for c in ITEM_DIM_COLUMNS[1:]],
         )
         keyed = dense_keys(attrs.withColumn("__sk", sort_key), "__sk", "item_key", start)
     return keyed.select(*ITEM_DIM_COLUMNS)
