@@ -110,7 +110,7 @@ def exact_components(loose: DataFrame, sizes: DataFrame, load_texts, to_sets, pe
                      max_hashes: int, max_broadcast: int = 64 << 20) -> DataFrame:
     """(unit, component) of every unit that has a verified link.
 
-    ``loose(a, b, node)``: candidate links and the node that proposed them;
+    ``loose(a, b, node)``: candidate links, once per node that proposed them;
     ``sizes(unit, n)``: set sizes; ``load_texts(members, small)`` adds the
     column ``text`` to ``members(key, unit)``; ``small`` says that the
     members may be broadcast (their measured size is below ``max_broadcast``).

@@ -234,6 +234,20 @@ def test_line_links_equal_exact_jaccard(spark):
     assert {i for i in got if got[i].text} == {i for i in want if want[i] == i}
 
 
+def test_line_links_of_large_groups_use_every_bucket(spark):
+    # Lines a and c are linked (0.82), b is not similar enough to either.  By
+    # these seeds b has the smallest key and stands in every bucket a and c share.
+    def family(seed):
+        r = random.Random(seed)
+        x = "".join(r.choice("abcdefgh") for _ in range(240))
+        return [x[:at] + "z" * n + x[at + n:] for at, n in ((20, 4), (200, 1), (100, 10))]
+
+    lines = [x for s in (14, 108, 177, 239, 425, 427, 443, 448, 485, 508, 651, 738) for x in family(s)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = by_id(line_dedup.dedup_lines(df, max_hashes=500))
+    assert [i for i in got if not got[i].text] == [i for i in got if i % 3 == 1]
+
+
 def test_scores(docs, texts, none):
     model = queries.tokenizer("piece_bpe_32k.model")
     got = {r.doc_id: r for r in lm_scoring.score_documents(docs, model, chunk_bytes=500).collect()}
