@@ -378,3 +378,17 @@ def test_pipeline_stages_take_effect(spark, tmp_path, docs):
     assert ids == rows.count()
     digest = hashlib.sha256(" ".join(map(str, rows.first().ids)).encode()).hexdigest()
     assert rows.first().ids_sha256 == digest
+
+
+def test_pipeline_near_dedup_takes_similarity_from_80_percent(spark):
+    import corpus_pipeline
+
+    # One edit in 55 words: similarity 46 / 56 = 0.82; in 43 words 34 / 44 = 0.77.
+    rows = {}
+    for i in range(10):
+        for at, n in ((0, 55), (100, 43)):
+            a = words(n, 900 + at + i, 5000)
+            rows[at + 2 * i], rows[at + 2 * i + 1] = " ".join(a), " ".join(edited(a, n // 2))
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = by_id(corpus_pipeline.dedup_documents(spark, df, ""))
+    assert sorted(got) == [i for i in sorted(rows) if i >= 100 or i % 2 == 0]
