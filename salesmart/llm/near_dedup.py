@@ -8,12 +8,16 @@ coordinates that its path selects.  Small nodes are compared exhaustively on
 the 64 minwise values; everything similar enough there is a loose link.  Loose
 groups are then verified on full sets.
 
+A large node first compares ``node_limit`` of its records with all that no
+link has reached yet.  Those records are settled and do not branch; of a group
+of near copies a few reach all others, so nothing is left to branch.
+
 Recall: a pair at similarity s meets in a tree with probability s^2 and is
 lost by 6 trees with (1 - s^2)^6, i.e. 0.0005 at 0.85; the loose test at 0.66
 on 64 values loses 1 in 100,000 of them.  A node that is still large after
-``max_depth`` branchings (its records agree on all selected values) is read as
-a stream: every record is compared with the node's leaders and becomes one if
-it is similar to none, so nothing is dropped.
+``max_depth`` branchings is compared exhaustively.  A node of more than
+``hold_limit`` records (136 bytes each, in one task) branches uncompared before
+that depth.  Nothing is dropped.
 
 Texts without words (null, empty) are linked with nothing and kept.  Repeated
 rows share a doc_id and its verdict; rows with a null doc_id never lead a
@@ -102,27 +106,39 @@ def start_paths(records: DataFrame, trees: int) -> DataFrame:
     return records.mapInArrow(run, "node bigint, depth int, unit bigint, sketch binary")
 
 
-def similar_groups(sketches: np.ndarray, least: int) -> np.ndarray:
+def similar_groups(sketches: np.ndarray, least: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Component (index of its first member) of rows that agree in at least
-    ``least`` values, by comparing every row reached with all not reached."""
+    ``least`` values, by comparing every row reached with all not reached;
+    and the rows that remain open when ``most`` rows have been compared: a
+    row that is not open has met, or is linked to, every row like it."""
     n = len(sketches)
     label = np.full(n, -1, np.int64)
+    unmet = np.ones(n, bool)
     rest = np.arange(n)
+    done = 0
     for seed in range(n):
         if label[seed] >= 0:
             continue
+        if done == most:
+            break
         label[seed] = seed
         frontier = [seed]
         rest = rest[label[rest] < 0]
         pool = sketches[rest]
-        while frontier and len(rest):
+        while frontier and len(rest) and done != most:
             x = frontier.pop()
+            unmet[x] = False
+            done += 1
             linked = (pool == sketches[x]).sum(axis=1) >= least
             if linked.any():
                 label[rest[linked]] = seed
                 frontier.extend(rest[linked].tolist())
                 rest, pool = rest[~linked], pool[~linked]
-    return label
+        if not len(rest):
+            unmet[:] = False
+            break
+    label = np.where(label < 0, np.arange(n), label)
+    return label, np.flatnonzero(unmet)
 
 
 def branch(node: int, depth: int, units: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
@@ -142,9 +158,9 @@ def branch(node: int, depth: int, units: np.ndarray, sketches: np.ndarray) -> pa
         names=["a", "b", "node", "depth", "unit", "sketch"])
 
 
-def walk_level(paths: DataFrame, node_limit: int, max_depth: int, least: int) -> DataFrame:
-    """Loose links (a, b, node) of the small nodes, and rows of the children
-    of large ones (a null), from one sorted stream over the nodes."""
+def walk_level(paths: DataFrame, node_limit: int, max_depth: int, least: int, hold_limit: int = 1 << 20) -> DataFrame:
+    """Loose links (a, b, node) of the nodes, and rows of the children of
+    large ones (a null), from one sorted stream over the nodes."""
     kind = "a bigint, b bigint, node bigint, depth int, unit bigint, sketch binary"
 
     def links(node: int, units: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
@@ -159,29 +175,15 @@ def walk_level(paths: DataFrame, node_limit: int, max_depth: int, least: int) ->
         node = depth = None
         units, sketches = np.zeros(0, np.int64), np.zeros((0, VALUES), np.uint16)
         large = False
-        leaders = None
-
-        def stream(units, sketches):
-            """A large node's rows: children, or links to leaders at the end."""
-            nonlocal leaders
-            if depth < max_depth:
-                yield branch(node, depth, units, sketches)
-                return
-            for u, s in zip(units, sketches):
-                if leaders is not None:
-                    same = (leaders[1] == s).sum(axis=1)
-                    if same.max() >= least:
-                        both = np.array([u, leaders[0][int(same.argmax())]])
-                        yield links(node, both, np.array([1, 1]))
-                        continue
-                lead = (np.array([u]), s[None, :])
-                leaders = lead if leaders is None else (np.append(leaders[0], u), np.vstack((leaders[1], s[None, :])))
 
         def close():
             if not large and len(units) > 1:
-                label = similar_groups(sketches, least)
+                most = node_limit if len(units) > node_limit and depth < max_depth else None
+                label, unmet = similar_groups(sketches, least, most)
                 if (label != np.arange(len(label))).any():
                     yield links(node, units, label)
+                if len(unmet) > 1:
+                    yield branch(node, depth, units[unmet], sketches[unmet])
 
         for b in batches:
             if not b.num_rows:
@@ -194,16 +196,16 @@ def walk_level(paths: DataFrame, node_limit: int, max_depth: int, least: int) ->
             for lo, hi in zip(cuts, ends):
                 if nodes[lo] != node:
                     yield from close()
-                    node, depth, large, leaders = int(nodes[lo]), int(depths[lo]), False, None
+                    node, depth, large = int(nodes[lo]), int(depths[lo]), False
                     units, sketches = own[lo:hi], sk[lo:hi]
                 elif large:
-                    yield from stream(own[lo:hi], sk[lo:hi])
+                    yield branch(node, depth, own[lo:hi], sk[lo:hi])
                     continue
                 else:
                     units, sketches = np.concatenate((units, own[lo:hi])), np.concatenate((sketches, sk[lo:hi]))
-                if len(units) > node_limit:
+                if len(units) > hold_limit and depth < max_depth:
                     large = True
-                    yield from stream(units, sketches)
+                    yield branch(node, depth, units, sketches)
                     units, sketches = units[:0], sketches[:0]
         yield from close()
 

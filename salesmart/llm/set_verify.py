@@ -106,6 +106,18 @@ def verified_components(members: DataFrame, to_sets, percent: int) -> DataFrame:
             .select("key", "unit", "text").mapInArrow(run, "a bigint, b bigint"))
 
 
+def split_keys(rows: DataFrame, sizes: DataFrame, max_hashes: int) -> DataFrame:
+    """``rows(key, unit)`` with every key of more than ``max_hashes`` hashes
+    dealt to one key per pair of its parts, of two thirds of that on average:
+    any two units of a key still meet."""
+    parts = materialize(rows.join(sizes, "unit").groupBy("key").agg(F.sum("n").alias("n")).where(
+        F.col("n") > max_hashes).select("key", F.ceil(3 * F.col("n") / max_hashes).cast("int").alias("parts")), "parts")
+    dealt = rows.join(parts, "key").withColumn("part", F.expr("cast(pmod(xxhash64(unit), parts) as int)")).withColumn(
+        "other", F.explode(F.expr("sequence(0, parts - 1)"))).where("part != other")
+    return rows.join(parts, "key", "left_anti").select("key", "unit").unionByName(dealt.select(
+        F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "unit"))
+
+
 def exact_components(loose: DataFrame, sizes: DataFrame, load_texts, to_sets, percent: int,
                      max_hashes: int, max_broadcast: int = 64 << 20) -> DataFrame:
     """(unit, component) of every unit that has a verified link.
@@ -116,8 +128,9 @@ def exact_components(loose: DataFrame, sizes: DataFrame, load_texts, to_sets, pe
     members may be broadcast (their measured size is below ``max_broadcast``).
 
     Groups are the components of the loose links.  A group with more than
-    ``max_hashes`` hashes in all is dealt by node instead (bounded groups),
-    and the verified links of both kinds are joined to components.
+    ``max_hashes`` hashes in all is dealt by node instead, and a node's group
+    that is still larger by pairs of its parts (bounded groups); the verified
+    links of all kinds are joined to components.
     """
     groups = materialize(components(loose.select("a", "b")), "loose")
     weighed = groups.join(sizes.withColumnRenamed("unit", "node"), "node")
@@ -129,8 +142,9 @@ def exact_components(loose: DataFrame, sizes: DataFrame, load_texts, to_sets, pe
     if oversize:
         hot = groups.join(large, "component").select(F.col("node").alias("a"))
         dealt = loose.join(hot, "a").withColumn("key", F.xxhash64("node", "b"))
-        inside = inside.unionByName(dealt.select("key", F.col("a").alias("unit"))).unionByName(
-            dealt.select("key", F.col("b").alias("unit")).distinct())
+        rows = materialize(dealt.select("key", F.col("a").alias("unit")).unionByName(
+            dealt.select("key", F.col("b").alias("unit"))).distinct(), "dealt")
+        inside = inside.unionByName(split_keys(rows, sizes, max_hashes))
     members = materialize(inside.distinct(), "members")
     links = materialize(verified_components(
         load_texts(members, members.count() * 32 <= max_broadcast), to_sets, percent), "links")

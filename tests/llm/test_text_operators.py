@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.llm import (bpe, decontaminate, licenses, line_dedup, lm_scoring, near_dedup, quality,
-                           queries, repeats, url_rules, warc)
+                           queries, repeats, set_verify, url_rules, warc)
 from salesmart.llm.fm_index import FMIndex
 from salesmart.llm.tables import components
 from salesmart.session import scratch_path
@@ -210,6 +210,42 @@ def test_near_duplicates(spark, docs, texts, none):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_large_nodes_of_near_copies_do_not_branch(spark):
+    r = np.random.default_rng(2)
+    kind = "node long, depth int, unit long, sketch binary"
+
+    def walk(sketches, node_limit, max_depth):
+        rows = [(5, 2, i, bytearray(x.astype(np.uint16).tobytes())) for i, x in enumerate(sketches)]
+        return near_dedup.walk_level(spark.createDataFrame(rows, kind), node_limit, max_depth, 42)
+
+    copies = np.tile(r.integers(0, 60000, 64), (300, 1))
+    for i, x in enumerate(copies):
+        x[r.integers(0, 64, 7)] = 60000 + i
+    found = walk(copies, 20, 16).collect()
+    assert not [x for x in found if x.a is None] and {x.a for x in found} == set(range(1, 300))
+    # Records that link with nothing do branch, but for those compared with all.
+    other = walk(r.integers(0, 60000, (50, 64)), 20, 16).collect()
+    assert Counter(x.unit for x in other) == {i: 2 for i in range(20, 50)}
+    # 0 - 2 - 3 - 1 is a chain of links: at the last depth it is one group.
+    x = r.integers(0, 60000, 64)
+    y, first, second = x.copy(), x.copy(), x.copy()
+    y[:20], first[20:40] = 60001, 60002
+    second[:] = y
+    second[40:60] = 60003
+    last = walk([first, second, x, y], 2, 2).collect()
+    assert {(q.a, q.b) for q in last} == {(1, 0), (2, 0), (3, 0)}
+
+
+def test_split_keys_keeps_every_pair(spark):
+    rows = spark.createDataFrame([(k, u) for k in (1, 2) for u in range(40 * k)], "key long, unit long")
+    sizes = spark.createDataFrame([(u, 10) for u in range(80)], "unit long, n long")
+    groups = {}
+    for x in set_verify.split_keys(rows, sizes, 400).collect():
+        groups.setdefault(x.key, set()).add(x.unit)
+    assert groups.pop(1) == set(range(40)) and max(map(len, groups.values())) <= 40
+    assert {(a, b) for g in groups.values() for a in g for b in g} == {(a, b) for a in range(80) for b in range(80)}
+
+
 def test_line_dedup(spark, docs, none):
     long = "This is a fairly long line of text that stands in several documents of the corpus, number one"
     rows = [(1, f"{long}\n\nOf.\nown line a"), (2, f" {long.replace('fairly', 'fairlx')}\nof.\nown line b"), (3, long.upper()),
