@@ -284,6 +284,19 @@ def test_line_links_of_large_groups_use_every_bucket(spark):
     assert [i for i in got if not got[i].text] == [i for i in got if i % 3 == 1]
 
 
+def test_line_sizes_are_their_shingles(spark, monkeypatch):
+    seen = []
+
+    def verify(loose, sizes, *rest):
+        seen.extend(sizes.collect())
+        return loose.selectExpr("a unit", "b component").limit(0)
+
+    monkeypatch.setattr(line_dedup, "exact_components", verify)
+    df = spark.createDataFrame([(1, "x" * 5000 + "\n é" + "y" * 29 + " \nshort"), (2, "x" * 5000)], "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).count() == 2
+    assert sorted(x.n for x in seen) == [1, 21, 4991]
+
+
 def test_scores(docs, texts, none):
     model = queries.tokenizer("piece_bpe_32k.model")
     got = {r.doc_id: r for r in lm_scoring.score_documents(docs, model, chunk_bytes=500).collect()}
