@@ -98,9 +98,15 @@ def fuzzy_matches(text: str, notices: tuple[tuple[str, str], ...], rate: float)
                 joined[-1][1] = max(hi, joined[-1][1])
             else:
                 joined.append([lo, hi])
-        for lo, hi in joined:
-            for m in patterns[i][0].finditer(text, lo, min(hi, len(text))):
+        # The best match of a stretch, then what stands before and after it.
+        open_parts = [(lo, min(hi, len(text))) for lo, hi in joined]
+        least = len(notices[i][1]) - patterns[i][1]
+        while open_parts:
+            lo, hi = open_parts.pop()
+            m = patterns[i][0].search(text, lo, hi) if hi - lo >= least else None
+            if m:
                 out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                open_parts += [(lo, m.start()), (m.end(), hi)]
     return sorted(out, key=lambda x: (x[1], x[0]))
 
 

@@ -181,6 +181,16 @@ def test_licenses(spark, docs, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+def test_license_notices_before_a_better_one_are_found():
+    text = dict((k, v) for k, v in licenses.NOTICES)["bsd"]
+    one, two = text.replace("source", "sorce"), text.replace("binary", "binnry").replace("forms", "form")
+    known = (("bsd", text),)
+    found = licenses.fuzzy_matches(f"{two} {one} {text} {one}", known, 0.08)
+    assert [e for _, _, _, e in found] == [2, 1, 0, 1]
+    starts = [a for _, a, _, _ in found]
+    assert starts == [0, len(two) + 1, len(two) + len(one) + 2, len(two) + len(one) + len(text) + 3]
+
+
 def shingles(text, width=5):
     w = SPACED.findall((text or "").translate(LOWER))
     return frozenset(tuple(w[i: i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
