@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, decontaminate, licenses, line_dedup, lm_scoring, near_dedup, quality, repeats, url_rules, warc
+from salesmart.llm import (
+    bag_search,
+    bpe,
+    decontaminate,
+    licenses,
+    line_dedup,
+    lm_scoring,
+    near_dedup,
+    quality,
+    repeats,
+    url_rules,
+    warc,
+    whitening,
+)
 from salesmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +178,38 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.find_repeats(table(spark, sf_dir, "documents"))
     return repeats.remove_repeats(found).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op12_lexical_search", r"""
+    WITH d AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+    q AS (
+      SELECT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM benchmark),
+    totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+    factor AS (
+      SELECT doc_id, w, 25 + (75 * CAST(len(w) AS BIGINT) * docs) // terms AS m FROM d, totals WHERE len(w) > 0),
+    tf AS (
+      SELECT doc_id, m, term, CAST(count(*) AS BIGINT) AS n
+      FROM (SELECT doc_id, m, unnest(w) AS term FROM factor) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+    weight AS (
+      SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, totals GROUP BY term, docs),
+    scored AS (
+      SELECT item_id, doc_id, CAST(sum(weight.w * ((1000000000 * n) // (1000 * n + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN tf USING (term) JOIN weight USING (term) GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+          FROM scored WHERE score > 0)
+    WHERE rank <= 10
+""")
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
