@@ -12,6 +12,7 @@ from salesmart.llm import (
     bag_search,
     bpe,
     decontaminate,
+    html_extract,
     licenses,
     line_dedup,
     lm_scoring,
@@ -213,3 +214,8 @@ def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_embedding_whitening")
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op11_html_extraction")
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
