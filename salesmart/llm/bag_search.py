@@ -213,7 +213,9 @@ def _search_block(docs: DataFrame, terms: DataFrame, k: int) -> DataFrame:
     classes = bag_classes(vectors, n_docs or 0, n_terms or 1, k)
     names = spark.createDataFrame(
         pa.table({"item": pa.array(range(len(distinct)), pa.int64()), "item_id": distinct}))
-    return score_classes(classes, query, k).join(names, "item").select("item_id", "doc_id", "score")
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
+    best = score_classes(classes, query, k).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.join(names, "item").select("item_id", "rank", "doc_id", "score")
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, block_terms: int = BLOCK_TERMS) -> DataFrame:
@@ -236,6 +238,4 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, block_terms: int = BL
     if found is None:
         kind = items.schema["item_id"].dataType.simpleString()
         return docs.sparkSession.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
-    order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("item_id", "rank", "doc_id", "score")
+    return found
