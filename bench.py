@@ -27,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from salesmart.config import EtlConfig, SourceConfig  # noqa: E402
 from salesmart.operators.constraints import constraint_report  # noqa: E402
+from salesmart.plans import cube  # noqa: E402
 from salesmart.plans import measures as M  # noqa: E402
 from salesmart.plans import views as V  # noqa: E402
 from salesmart.plans.warehouse import read_warehouse, run_pipeline  # noqa: E402
@@ -76,10 +77,8 @@ def main() -> None:
         "item_performance": lambda: V.item_performance(di, fact),
         "promo_revenue_daily": lambda: V.promo_revenue_daily(dd, fact),
         "rolling_7d": lambda: M.rolling_7d(daily()),
-        "exec_kpis": lambda: M.exec_kpis(dd, daily(), clv()),
-        "total_kpis": lambda: M.total_kpis(
-            daily(), db, V.churn_summary(clv()), V.item_metrics(di, fact),
-            V.promo_revenue_daily(dd, fact), V.return_rates_item(dd, di, fact)),
+        "exec_kpis": lambda: cube.exec_kpis(dd, fact),
+        "total_kpis": lambda: cube.total_kpis(dd, db, fact),
         "constraint_report": lambda: constraint_report(dd, di, db, fact),
     }
     for name, make in plans.items():

@@ -96,3 +96,5 @@ class EtlConfig:
     partition_fact_by_date: bool = False
     # Refuse a load that breaks the warehouse constraints.
     enforce_constraints: bool = True
+    # What names a load that is given no id: its files' names, or its rows.
+    load_id_from: str = "files"

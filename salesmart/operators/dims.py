@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesmart.config import CanonicalizeConfig
@@ -63,13 +63,6 @@ def build_date_dimension(df: DataFrame, date_col: str = "date",
     return cal.select(key, *cal.columns)
 
 
-def _first_non_null(value: str, order: str | None) -> Column:
-    """A10: first non-null value in file order (``min`` without an order)."""
-    if order is None:
-        return F.min(value)
-    return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))
-
-
 def most_frequent(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """Per ``key``, the most frequent non-null value of each string
     attribute; ties -> the smallest value; all-null -> NULL.
@@ -96,14 +89,21 @@ def most_frequent(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     return counts.groupBy(key).agg(*best)
 
 
-def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None) -> DataFrame:
+def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None,
+                    observation: Observation | None = None) -> DataFrame:
     """One row per item (mode strategy) or distinct rows.
 
     mode strategy: group by ``item_code`` (NULL codes dropped); ``item_id`` =
     first non-null in file order; name / category / version = most frequent
-    non-null value, ties -> smallest (:func:`most_frequent`).
+    non-null value, ties -> smallest (as :func:`most_frequent`).
     Category is canonicalised before the mode is taken.  Groups whose
-    ``item_id`` is NULL are dropped.
+    ``item_id`` is NULL are dropped; ``observation`` counts them
+    (``items_without_id``) in the same pass.
+
+    One scan and no join: every row gives its four attributes as (attribute,
+    value) pairs; a first aggregation, spread by value, keeps each pair's count
+    and first position; a second keeps one fixed-size buffer per item and
+    attribute.
     """
     canon = canon or CanonicalizeConfig()
     order = "_seq" if "_seq" in df.columns else None
@@ -111,11 +111,24 @@ def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None) -> D
             canonical_category("category", canon.category).alias("category"), "version"]
     items = df.select(*cols, *([order] if order else []))
     if canon.item_attributes == "mode":
-        coded = items.where(F.col("item_code").isNotNull())
-        first = coded.groupBy("item_code").agg(
-            _first_non_null("item_id", order).alias("item_id"))
-        modes = most_frequent(coded, "item_code", ["item_name", "category", "version"])
-        grouped = first.join(modes, "item_code", "left")
+        modes = ("item_name", "category", "version")
+        pairs = F.array(*[F.struct(F.lit(a).alias("attr"), F.col(a).cast("string").alias("value"))
+                          for a in ("item_id", *modes)])
+        # Without an order the smallest id counts as the first.
+        at = F.col(order) if order else F.col("item_id")
+        long = items.where(F.col("item_code").isNotNull()).select(
+            "item_code", at.alias("at"), F.explode(pairs).alias("kv")).select("item_code", "at", "kv.*")
+        # Null values go, but for the ids: their group says that the code exists.
+        long = long.where(F.col("value").isNotNull() | (F.col("attr") == "item_id"))
+        counts = long.groupBy("item_code", "attr", "value").agg(
+            F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+        an_id = (F.col("attr") == "item_id") & F.col("value").isNotNull()
+        grouped = counts.groupBy("item_code").agg(
+            F.min_by("value", F.when(an_id, F.col("first"))).cast(df.schema["item_id"].dataType).alias("item_id"),
+            *[F.min_by("value", F.when(F.col("attr") == a, F.struct(-F.col("n"), F.col("value")))).alias(a)
+              for a in modes])
+        if observation is not None:
+            grouped = grouped.observe(observation, F.count_if(F.col("item_id").isNull()).alias("items_without_id"))
         return grouped.where(F.col("item_id").isNotNull()).select(
             "item_code", "item_id", "item_name", "category", "version")
     return (
@@ -126,10 +139,10 @@ def item_attributes(df: DataFrame, canon: CanonicalizeConfig | None = None) -> D
 
 
 def build_item_dimension(df: DataFrame, canon: CanonicalizeConfig | None = None,
-                         start: Column | int = 0) -> DataFrame:
+                         start: Column | int = 0, observation: Observation | None = None) -> DataFrame:
     """Item dimension with ``item_key`` in ``item_code`` order."""
     canon = canon or CanonicalizeConfig()
-    attrs = item_attributes(df, canon)
+    attrs = item_attributes(df, canon, observation)
     if canon.item_attributes == "mode":
         keyed = dense_keys(attrs, "item_code", "item_key", start)
     else:

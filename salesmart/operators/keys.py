@@ -170,6 +170,97 @@ def ranks_over(df: DataFrame, value: str, ranks: dict[str, Sequence[str]],
     return ranked
 
 
+#: Radix buckets per power of two of the value.
+RADIX = 4096
+
+
+def _radix_order(df: DataFrame, col: str, descending: bool, nulls_first: bool) -> Column:
+    """A BIGINT that never falls in the order of the rank: the value's image on
+    a logarithmic scale, with 4096 steps per power of two on either side of 0.
+    At most some 8 million different numbers exist, and a data set has few
+    thousands of them, whatever its size."""
+    dom, kind = _sort_domain(df, col)
+    if kind != "numeric":
+        raise TypeError(f"{col} is neither a number nor a date")
+    image = (F.signum(dom) * F.floor(F.log2(F.abs(dom) + 1) * RADIX)).cast("bigint")
+    step = -image if descending else image
+    edge = F.lit(-(1 << 40) if nulls_first else 1 << 40)
+    return F.when(F.col(col).isNull(), edge).otherwise(step)
+
+
+def radix_ranks(df: DataFrame, value: str, ranks: dict[str, Sequence[str]],
+                descending: bool = True, nulls_first: bool | None = None) -> DataFrame:
+    """:func:`ranks_over` as a lazy plan: no sampling job and no stored table,
+    so the result follows its tables.
+
+    Rows fold to distinct (partition keys, value) with a count; their radix
+    buckets give, by a window over the bucket totals, the rows above a bucket;
+    a window inside each bucket gives the rest.  Equal values share a bucket.
+    """
+    if nulls_first is None:
+        nulls_first = descending
+    every = list(dict.fromkeys(k for parts in ranks.values() for k in parts))
+    folded = df.groupBy(*every, value).agg(F.count(F.lit(1)).alias("__w"))
+    folded = folded.withColumn("__o", _radix_order(df, value, descending, nulls_first))
+    ranked = df
+    for out, parts in ranks.items():
+        d = folded if set(parts) == set(every) else folded.groupBy(*parts, value, "__o").agg(
+            F.sum("__w").alias("__w"))
+        before = Window.partitionBy(*parts).orderBy("__o").rowsBetween(Window.unboundedPreceding, -1)
+        above = d.groupBy(*parts, "__o").agg(F.sum("__w").alias("__t")).select(
+            *[F.col(p).alias(f"__p{i}") for i, p in enumerate(parts)], F.col("__o").alias("__b"),
+            F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
+        inside = (Window.partitionBy(*parts, "__o").orderBy(_ordered(value, descending, nulls_first))
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        cond = [F.col("__o") == F.col("__b")] + [
+            F.col(p).eqNullSafe(F.col(f"__p{i}")) for i, p in enumerate(parts)]
+        table = d.withColumn("__in", F.coalesce(F.sum("__w").over(inside), F.lit(0))).join(above, cond).select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate([*parts, value])],
+            (F.col("__off") + F.col("__in") + 1).cast("bigint").alias(out))
+        keys = [*parts, value]
+        ranked = ranked.join(table, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]).drop(
+            *[f"__k{i}" for i in range(len(keys))])
+    return ranked
+
+
+def dense_row_keys(df: DataFrame, out: str, start: int = 0, order_by: Sequence[str] | None = None,
+                   n_rows: int | None = None, rows_per_shard: int = 1 << 21) -> DataFrame:
+    """Keys ``start+1, start+2, ...`` for all rows of a multiset, in the order
+    of ``order_by`` (default: all columns): ``row_number()`` over that order,
+    without a one-task sort.
+
+    Equal rows get an occurrence number as the last sort column, so that a row
+    repeated over a third of the table spreads over shards too.  The rows are
+    range-partitioned and sorted, and written once together with their shard
+    and their place in it; the shards' row counts (one number per shard reach
+    the driver) then give every shard its first key.  ``df`` should read stored
+    rows: a lost task then finds the same occurrence numbers again.
+
+    The result is sorted by its key, so its files hold narrow ranges of the
+    leading columns.
+    """
+    from salesmart.session import materialize
+
+    spark = df.sparkSession
+    order = [F.col(c).asc_nulls_last() for c in (order_by or df.columns)]
+    shards = max(_n_buckets(df, None), -(-n_rows // rows_per_shard) if n_rows else 1)
+    occurring = df.withColumn("__occurrence", F.monotonically_increasing_id())
+    order = [*order, F.col("__occurrence")]
+    placed = (occurring.repartitionByRange(shards, *order).sortWithinPartitions(*order)
+              .drop("__occurrence").withColumn("__at", F.monotonically_increasing_id()))
+    rows = materialize(placed, "row-keys")
+    shard = F.shiftright("__at", 33)
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    first, at = [], start
+    for s, n in sorted((r["s"], r["n"]) for r in rows.groupBy(shard.alias("s")).agg(
+            F.count(F.lit(1)).alias("n")).collect()):
+        first.append((s, at))
+        at += n
+    offsets = spark.createDataFrame(first, "__s bigint, __first bigint")
+    return rows.join(F.broadcast(offsets), shard == F.col("__s")).select(
+        (F.col("__first") + place + 1).alias(out), *[F.col(c) for c in df.columns])
+
+
 def dense_keys(df: DataFrame, natural_key: str, out: str, start: Column | int = 0,
                n_buckets: int | None = None, materialize_input: bool = True) -> DataFrame:
     """Surrogate keys ``start+1, start+2, ...`` in natural-key order.

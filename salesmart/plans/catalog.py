@@ -29,18 +29,28 @@ from salesmart.operators.dims import (
     new_dates,
     new_items,
 )
+from salesmart.operators.fact import FACT_COLUMNS
 from salesmart.operators.validate import (
     check_expressions,
     check_failures,
     drop_rate,
     flag_rows,
 )
+from salesmart.plans import cube
 from salesmart.plans import oracle as O
 from salesmart.plans import measures as M
 from salesmart.plans import views as V
-from salesmart.plans.warehouse import Warehouse, build_warehouse, read_warehouse, run_pipeline
-from salesmart.session import materialize, scratch_path
-from salesmart.sources.raw import clean_raw, load_raw_data, profile
+from salesmart.plans.catalog_views import VIEW_NAMES, publish_views
+from salesmart.plans.warehouse import (
+    Warehouse,
+    build_warehouse,
+    dry_run_counts,
+    read_warehouse,
+    run_pipeline,
+    with_fact_key,
+)
+from salesmart.session import scratch_path
+from salesmart.sources.raw import PARSED_MONEY, clean_raw, load_raw_data, profile
 from salesmart.sources.tables import raw_sales_text, sales_record
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,15 +85,16 @@ def messy_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored(wh: Warehouse, name: str) -> Warehouse:
-    """The four tables computed once and read back (as a user queries a
-    stored warehouse); rejected rows and orphans stay lazy."""
-    return Warehouse(
-        materialize(wh.dim_date, f"{name}-dim-date"),
-        materialize(wh.dim_item, f"{name}-dim-item"),
-        materialize(wh.dim_buyer, f"{name}-dim-buyer"),
-        materialize(wh.fact, f"{name}-fact"),
-        wh.rejected, wh.orphans, wh.stats,
-    )
+    """The four tables computed once into one folder (``stats["dir"]``) and
+    read back, as a user queries a stored warehouse; rejected rows and orphans
+    stay lazy."""
+    spark = wh.fact.sparkSession
+    folder = scratch_path(spark, name)
+    for table, df in wh.tables().items():
+        df.write.parquet(f"{folder}/{table}")
+    stored = read_warehouse(spark, folder)
+    stored.rejected, stored.orphans, stored.stats = wh.rejected, wh.orphans, {**wh.stats, "dir": folder}
+    return stored
 
 
 def clean_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -279,8 +290,8 @@ FROM roll r JOIN act a ON a.full_date = r.full_date"""
 
 @register("exec_kpis", O.compose(O.CLEAN, ["roll", "act"], _EXEC))
 def q_exec(spark, sf_dir):
-    v = _views(spark, sf_dir)
-    return M.exec_kpis(v["wh"].dim_date, v["daily"], v["clv"])
+    wh = clean_wh(spark, sf_dir)
+    return cube.exec_kpis(wh.dim_date, wh.fact)
 
 
 _ROLLING_TOTALS = f""",
@@ -343,9 +354,8 @@ FROM tk"""
 
 @register("total_kpis", O.compose(O.CLEAN, ["daily", "perf", "churn", "rri", "promo"], _TOTALS))
 def q_totals(spark, sf_dir):
-    v = _views(spark, sf_dir)
-    return M.total_kpis(v["daily"], v["wh"].dim_buyer, v["churn"], v["metrics"], v["promo"],
-                        v["rri"])
+    wh = clean_wh(spark, sf_dir)
+    return cube.total_kpis(wh.dim_date, wh.dim_buyer, wh.fact)
 
 
 _RR_ITEM = """
@@ -506,7 +516,7 @@ _REC_TYPES = dict(
     + [(c, "bigint") for c in ("item_id", "buyer_id", "transaction_id")]
     + [("date", "date")]
     + [(c, "int") for c in ("final_quantity", "refunded_item_count", "purchased_item_count")]
-    + [(c, "decimal(18,4)") for c in _MONEY]
+    + [(c, PARSED_MONEY) for c in _MONEY]
 )
 _PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{_REC_TYPES[c]}' AS data_type, CAST(COUNT(*) AS BIGINT) AS n_rows,"
@@ -628,7 +638,7 @@ def _landed_loads(spark, sf_dir) -> tuple[Warehouse, str]:
         raw = raw_sales_text(spark, sf_dir).drop("_seq").withColumn("Remark", F.lit("x, y"))
         raw = raw.select(*reversed(raw.columns))
         out = scratch_path(spark, "two-loads")
-        late = F.pmod(F.xxhash64("Transaction ID", "Item Code"), F.lit(2)) == 1
+        late = F.coalesce(F.pmod(clean_id("Transaction ID"), F.lit(2)) == 1, F.lit(False))
         for name, keep in (("a", ~late), ("b", late)):
             raw.where(keep).write.option("header", True).csv(f"{out}/raw/{name}")
         for name in ("a", "b", "b"):
@@ -647,6 +657,78 @@ FROM ({_FACT_OUT}) f JOIN dim_date d USING (date_key) JOIN dim_item i USING (ite
 JOIN dim_buyer b USING (buyer_key)"""
 
 
+_KEY_ORDER = ", ".join(FACT_COLUMNS)
+
+
+@register("fact_keys", O.clean(f",\nout AS ({_FACT_OUT}) SELECT row_number() OVER (ORDER BY {_KEY_ORDER}) AS fact_key, * FROM out"))
+def q_fact_keys(spark, sf_dir):
+    """K1: the fact numbered without gaps, by date, item, buyer and all other columns."""
+    return _money_double(with_fact_key(clean_wh(spark, sf_dir).fact))
+
+
+# Both loads number what the one before did not have; the fact's rows are
+# numbered load by load.
+_TWO_LOAD_KEYS = f""",
+part AS (SELECT *, COALESCE(transaction_id % 2 = 1, false) AS late FROM rec),
+span AS (SELECT late, MIN(date) AS lo, MAX(date) AS hi FROM part GROUP BY late),
+span_day AS (
+  SELECT late, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM span
+),
+day_no AS (
+  SELECT date, CAST(row_number() OVER (ORDER BY bool_and(late), date) AS INTEGER) AS date_key FROM span_day GROUP BY date
+),
+item_no AS (
+  SELECT item_code, row_number() OVER (ORDER BY bool_and(late), item_code) AS item_key
+  FROM part WHERE item_code IS NOT NULL AND item_id IS NOT NULL GROUP BY item_code
+),
+buyer_no AS (
+  SELECT buyer_id, row_number() OVER (ORDER BY bool_and(late), buyer_id) AS buyer_key
+  FROM part WHERE buyer_id IS NOT NULL GROUP BY buyer_id
+),
+loaded AS (
+  SELECT transaction_id % 2 = 1 AS late, date_key, item_key, buyer_key, transaction_id, final_quantity,
+         CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(price_reductions AS DOUBLE) AS price_reductions,
+         CAST(refunds AS DOUBLE) AS refunds, CAST(final_revenue AS DOUBLE) AS final_revenue,
+         CAST(sales_tax AS DOUBLE) AS sales_tax, CAST(overall_revenue AS DOUBLE) AS overall_revenue,
+         refunded_item_count, purchased_item_count
+  FROM valid JOIN day_no USING (date) JOIN item_no USING (item_code) JOIN buyer_no USING (buyer_id)
+  WHERE transaction_id IS NOT NULL
+)
+SELECT row_number() OVER (ORDER BY late, {_KEY_ORDER}) AS fact_key, {_KEY_ORDER} FROM loaded"""
+
+
+@register("fact_keys_two_loads", O.messy(_TWO_LOAD_KEYS))
+def q_fact_keys_two_loads(spark, sf_dir):
+    """K1 over the two landed loads: the second goes on where the first ends,
+    and keeps its numbers when it runs again."""
+    return _money_double(_landed_loads(spark, sf_dir)[0].fact.select("fact_key", *FACT_COLUMNS))
+
+
+_DRY_RUN = """,
+code AS (SELECT item_code, COUNT(item_id) AS n_ids FROM rec WHERE item_code IS NOT NULL GROUP BY item_code),
+seen AS (
+  SELECT (SELECT COUNT(*) FROM rec) AS n_rows, (SELECT COUNT(*) FROM valid) AS n_valid,
+         (SELECT COUNT(*) FROM rec WHERE buyer_id IS NULL) AS null_buyer_id_rows,
+         (SELECT COUNT(*) FROM rec WHERE item_code IS NULL) AS null_item_code_rows,
+         (SELECT COUNT(*) FROM code WHERE n_ids = 0) AS items_without_id,
+         (SELECT COUNT(*) FROM dim_date) AS dim_date_rows, (SELECT COUNT(*) FROM code WHERE n_ids > 0) AS dim_item_rows,
+         (SELECT COUNT(DISTINCT buyer_id) FROM rec) AS dim_buyer_rows
+),
+full_row AS (SELECT *, n_rows - n_valid AS n_rejected FROM seen)
+SELECT metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT full_row ON COLUMNS(*) INTO NAME metric VALUE value)
+UNION ALL SELECT 'drop_rate', CAST(n_rejected AS DOUBLE) / GREATEST(n_rows, 1) FROM full_row"""
+
+
+@register("dry_run_counts", O.messy(_DRY_RUN))
+def q_dry_run(spark, sf_dir):
+    """The counts of a dry run over a landed raw file."""
+    out = scratch_path(spark, "dry-run-raw")
+    raw_sales_text(spark, sf_dir).drop("_seq").write.option("header", True).csv(out)
+    cfg = EtlConfig(source=SourceConfig(path=out))
+    return dry_run_counts(spark, load_raw_data(spark, cfg.source), cfg)
+
+
 @register("pipeline_two_loads", O.messy(_TWO_LOADS))
 def q_pipeline_two_loads(spark, sf_dir):
     wh = _landed_loads(spark, sf_dir)[0]
@@ -758,8 +840,9 @@ def q_new_dates(spark, sf_dir):
     return new_dates(clean_wh(spark, sf_dir).dim_date, existing)
 
 
-_NEW_ITEMS = _FIRST + """
-i1 AS (SELECT DISTINCT item_code FROM rec1 WHERE item_code IS NOT NULL AND item_id IS NOT NULL)
+# Items come in two deliveries: every third number with the second.
+_NEW_ITEMS = """,
+i1 AS (SELECT DISTINCT item_code FROM rec WHERE item_code IS NOT NULL AND item_id % 3 <> 0)
 SELECT (SELECT COUNT(*) FROM i1) + row_number() OVER (ORDER BY item_code) AS item_key,
        item_code, item_id, item_name, category, version
 FROM dim_item WHERE item_code NOT IN (SELECT item_code FROM i1)"""
@@ -767,8 +850,9 @@ FROM dim_item WHERE item_code NOT IN (SELECT item_code FROM i1)"""
 
 @register("new_dim_items", O.clean(_NEW_ITEMS))
 def q_new_items(spark, sf_dir):
-    existing = build_item_dimension(_first_load(spark, sf_dir))
-    return new_items(item_attributes(clean_sales(spark, sf_dir)), existing)
+    sales = clean_sales(spark, sf_dir)
+    existing = build_item_dimension(sales.where("item_id % 3 <> 0"))
+    return new_items(item_attributes(sales), existing)
 
 
 _NEW_BUYERS = _FIRST + """
@@ -859,3 +943,27 @@ def q_clv_raw(spark, sf_dir):
 def q_item_perf_raw(spark, sf_dir):
     wh = messy_wh(spark, sf_dir)
     return V.item_performance(wh.dim_item, wh.fact)
+
+
+# ----------------------------------------------------------------------------
+# The views published in the session catalog, read by name
+# ----------------------------------------------------------------------------
+
+def _published(spark, sf_dir) -> str:
+    def build():
+        publish_views(spark, clean_wh(spark, sf_dir).stats["dir"], name := f"sales_{len(_CACHE)}")
+        return name
+
+    return _memo(spark, ("published", sf_dir), build)
+
+
+def _by_name(view: str):
+    def q(spark, sf_dir):
+        return spark.table(f"{_published(spark, sf_dir)}.{view}")
+    q.__doc__ = f"{view}, published in the session catalog and read by name."
+    return q
+
+
+for _view, _cte in VIEW_NAMES.items():
+    register(f"published_{_view}", O.clean(" SELECT * FROM vw_date") if _view == "vw_date" else _view_sql(_cte))(
+        _by_name(_view))

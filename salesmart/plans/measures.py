@@ -78,8 +78,16 @@ def promo_measures() -> dict[str, Column]:
     }
 
 
-def rolling_7d(sales_daily: DataFrame) -> DataFrame:
-    """M2, M3, M5, M6, M7 per calendar day.
+def active_windows(n: str) -> list[Column]:
+    """M10, M11 over a gap-free daily frame that counts the buyers last seen
+    on each day: the 8 days up to the day, and the 8 that end a week before."""
+    cur, prior = _day_range(-7, 0), _day_range(-14, -7)
+    return [_blank_if_zero(F.sum(n).over(cur)).alias("active_buyers_7d"),
+            _blank_if_zero(F.sum(n).over(prior)).alias("active_buyers_prior_7d")]
+
+
+def rolling_7d(sales_daily: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """M2, M3, M5, M6, M7 per calendar day (and further daily windows).
 
     Current window = the 7 days ending on the day; prior window = the 7 days
     ending 7 days earlier.  An empty frame (before the calendar starts) is
@@ -92,6 +100,7 @@ def rolling_7d(sales_daily: DataFrame) -> DataFrame:
         _money(F.sum("daily_revenue").over(prior)).alias("revenue_prior_7d"),
         F.sum("daily_orders").over(cur).alias("orders_7d"),
         F.sum("daily_orders").over(prior).alias("orders_prior_7d"),
+        *more,
     )
     return out.select(
         "*",
@@ -110,21 +119,19 @@ def active_buyers(dim_date: DataFrame, clv: DataFrame) -> DataFrame:
         F.col("last_purchase_date").alias("full_date")
     ).agg(F.count(F.lit(1)).alias("n"))
     spine = dim_date.select("full_date").join(per_day, "full_date", "left").fillna(0, ["n"])
-    cur, prior = _day_range(-7, 0), _day_range(-14, -7)
-    return spine.select(
-        "full_date",
-        _blank_if_zero(F.sum("n").over(cur)).alias("active_buyers_7d"),
-        _blank_if_zero(F.sum("n").over(prior)).alias("active_buyers_prior_7d"),
-    )
+    return spine.select("full_date", *active_windows("n"))
 
 
 def exec_kpis(dim_date: DataFrame, sales_daily: DataFrame, clv: DataFrame) -> DataFrame:
     """B1: executive KPI row per day — revenue, orders, AOV and active
     buyers against the prior period, change = current / prior - 1."""
-    r = rolling_7d(sales_daily)
-    a = active_buyers(dim_date, clv)
+    return kpi_changes(rolling_7d(sales_daily).join(active_buyers(dim_date, clv), "full_date"))
+
+
+def kpi_changes(kpis: DataFrame) -> DataFrame:
+    """Current and prior values of the rolling measures with their change."""
     change = lambda cur, pri: (ratio(cur, pri) - 1).alias(f"{cur}_change")
-    return r.join(a, "full_date").select(
+    return kpis.select(
         "full_date", "revenue_7d", "revenue_prior_7d", change("revenue_7d", "revenue_prior_7d"),
         "orders_7d", "orders_prior_7d", change("orders_7d", "orders_prior_7d"),
         "aov_7d", "aov_prior_7d", change("aov_7d", "aov_prior_7d"),

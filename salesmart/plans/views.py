@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import dates as D
 from salesmart.functions.numeric import as_double, ratio, ratio_or_zero
-from salesmart.operators.keys import ranks_over, value_cuts
-from salesmart.session import materialize
+from salesmart.operators.keys import radix_ranks
 
 
 def vw_date(dim_date: DataFrame) -> DataFrame:
@@ -247,14 +246,10 @@ def item_performance(dim_item: DataFrame, fact: DataFrame) -> DataFrame:
     """V8: per-item revenue, quantities, return rate, discount share, overall
     and in-category revenue rank (RANK, gaps on ties, NULLs first).
 
-    Ranks use the distributed :func:`ranks_over` (no single-partition sort).
-    The per-item aggregate is referenced by both ranks (sampling, distinct
-    values, join-back) and by the output, so it is materialised once: the
-    fact is scanned a single time."""
-    base = materialize(_item_totals(dim_item, fact), "item-performance")
-    cuts = value_cuts(base, "total_revenue")  # one sampling pass for both ranks
-    ranked = ranks_over(base, "total_revenue", {
-        "revenue_rank": [], "revenue_rank_in_category": ["category"]}, cuts=cuts)
+    Ranks use :func:`radix_ranks`: lazy, without a single-partition sort, a
+    sampling job or a stored table, so the view follows its tables."""
+    ranked = radix_ranks(_item_totals(dim_item, fact), "total_revenue", {
+        "revenue_rank": [], "revenue_rank_in_category": ["category"]})
     return ranked.select(*_item_metric_columns(), "revenue_rank", "revenue_rank_in_category")
 
 

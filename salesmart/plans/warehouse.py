@@ -6,17 +6,20 @@ import hashlib
 import logging
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.config import EtlConfig
 from salesmart.operators import dims as dims_op
 from salesmart.operators.constraints import assert_constraints, constraint_report
 from salesmart.operators.fact import FACT_COLUMNS, complete_keys, lookup_keys, split_fact
-from salesmart.operators.validate import drop_rate, flag_rows, gate
-from salesmart.sources.raw import profile
+from salesmart.operators.keys import dense_row_keys
+from salesmart.operators.validate import check_expressions, drop_rate, flag_rows, gate
+from salesmart.session import scratch_path
+from salesmart.sources.raw import null_counts
 
 log = logging.getLogger("salesmart")
 
@@ -96,6 +99,36 @@ def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
     return Warehouse(t["dim_date"], t["dim_item"], t["dim_buyer"], fact)
 
 
+#: Order in which fact rows are numbered (K1).
+FACT_KEY_ORDER = FACT_COLUMNS
+
+
+def with_fact_key(fact: DataFrame, start: int = 0, n_rows: int | None = None) -> DataFrame:
+    """K1: ``fact_key`` = start+1, start+2, ... in the order of all columns,
+    by date first (``row_number()`` over that order)."""
+    return dense_row_keys(fact.select(*FACT_COLUMNS), "fact_key", start, FACT_KEY_ORDER, n_rows).select(
+        *FACT_COLUMNS, "fact_key")
+
+
+def next_fact_key(spark: SparkSession, path: str, load_id: str, n_rows: int) -> int:
+    """The number that the keys of a load start above.
+
+    A new load goes on after the largest stored key.  A load that runs again
+    keeps its range if it has as many rows as before or is the last; else it
+    moves behind all others and its old range stays unused."""
+    if not _exists(spark, path):
+        return 0
+    stored = spark.read.parquet(path)
+    own = F.col("load_id").cast("string") == load_id
+    row = stored.agg(
+        F.max(F.when(~own, F.col("fact_key"))).alias("others"), F.min(F.when(own, F.col("fact_key"))).alias("first"),
+        F.count_if(own).alias("n")).first()
+    others = row["others"] or 0
+    if row["first"] is not None and (row["n"] == n_rows or row["first"] > others):
+        return row["first"] - 1
+    return others
+
+
 # ----------------------------------------------------------------------------
 # End-to-end run with sinks
 # ----------------------------------------------------------------------------
@@ -123,7 +156,9 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> None:
 
 
 def default_load_id(raw: DataFrame) -> str:
-    """An id of the input files' names: the same files load as the same load.
+    """An id of the input files' names: the same files load as the same load,
+    and a copy of a file under another name is another load (with
+    ``EtlConfig.load_id_from = "content"`` it is the same one).
     Rows that come from no file are a load of their own."""
     files = sorted(raw.inputFiles())
     text = "\n".join(files) if files else uuid.uuid4().hex
@@ -140,6 +175,21 @@ def assert_unique(df: DataFrame, key: str, name: str) -> None:
 NATURAL_KEYS = {"dim_date": "full_date", "dim_item": "item_code", "dim_buyer": "buyer_id"}
 
 
+def _observed_record(raw: DataFrame, cfg: EtlConfig, seen: Observation) -> DataFrame:
+    """``raw`` with what its write observes (S9, S10, A11-A13, E14): row and
+    valid-row counts, calendar bounds, nulls per column, and, for load ids by
+    content, a digest of all rows that does not depend on their order."""
+    valid = F.lit(True)
+    for expr in check_expressions(cfg.validation).values():
+        valid = valid & expr
+    columns = [c for c in raw.columns if not c.startswith("_")]
+    return raw.observe(
+        seen, F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid"),
+        F.min("date").alias("lo"), F.max("date").alias("hi"),
+        F.bit_xor(F.xxhash64(F.xxhash64(*columns), F.lit(1))).alias("content"),
+        *[n.alias(f"null_{c}") for c, n in null_counts(raw).items()])
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
                  cfg: EtlConfig | None = None, load_id: str | None = None,
                  warehouse_dir: str | None = None) -> RunResult:
@@ -148,9 +198,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     Order of effects (nothing reaches the warehouse before step 6):
 
     1. S5 ``processed/orders_cleaned``: the typed record, written once; every
-       later step reads this file instead of re-running the raw scan.
+       later step reads this file instead of re-running the raw scan.  Counts
+       of the whole record (gate, profile, calendar bounds, dropped rows) are
+       observed metrics of this write; the dimensions' are of theirs.
     2. S6 ``processed/dim_*``: calendar, items, buyers from all rows.
-    3. E14 gate: one aggregate over the flagged rows; ValueError if too many
+    3. E14 gate on the observed counts; ValueError if too many rows
        are rejected.  S7 ``validated_fact_data`` and, only when some rows
        fail, ``rejected_rows``.
     4. S9 dry run stops here.
@@ -159,13 +211,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
        staged below ``processed``.  Natural keys must be unique, and (unless
        ``cfg.enforce_constraints`` is off) the staged load must meet the
        warehouse constraints; else ValueError and an unchanged warehouse.
-    6. New dimension rows are appended, and the fact rows written to the
+    6. New dimension rows are appended, and the fact rows, numbered by
+       ``fact_key`` after the stored ones (K1), written to the
        folder ``fact_sales/load_id=<load_id>``: another load adds, the same
        load (by default: the same input files) replaces its own rows.  Rows
        without a key or a transaction id go to ``processed/fact_orphans``.
     """
     cfg = cfg or EtlConfig()
-    load_id = load_id or default_load_id(raw)
     fmt = cfg.output_format
     base = out_dir.rstrip("/")
     timings: dict[str, float] = {}
@@ -179,42 +231,46 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     proc = f"{base}/processed"
     wdir = (warehouse_dir or f"{base}/warehouse").rstrip("/")
 
+    # The write of the cleaned record observes what later steps need of it as
+    # a whole: calendar bounds, validation totals, nulls, dropped rows.
     cleaned_path = f"{proc}/orders_cleaned"
-    raw.write.mode("overwrite").parquet(cleaned_path)  # lineage cut: one raw scan
+    seen = Observation("cleaned")
+    _observed_record(raw, cfg, seen).write.mode("overwrite").parquet(cleaned_path)  # lineage cut: one raw scan
     cleaned = spark.read.parquet(cleaned_path)
-    if log.isEnabledFor(logging.INFO):
-        for r in profile(cleaned).collect():  # one row per column
-            log.info(" - %s: %s, nulls: %d.", r.column_name, r.data_type, r.n_nulls)
+    one = seen.get
+    if load_id is None and cfg.load_id_from == "content":
+        load_id = "c" + hashlib.sha1(f"{one['n_rows']} {one['content']}".encode()).hexdigest()[:16]
+    load_id = load_id or default_load_id(raw)
+    for name, kind in cleaned.dtypes:
+        if not name.startswith("_"):
+            log.info("%s (%s): %d of %d values missing", name, kind, one[f"null_{name}"], one["n_rows"])
     lap("cleaned")
     if fmt != "parquet":
         _write(cleaned.drop("_seq"), f"{proc}/orders_cleaned_{fmt}", fmt)
 
-    # One pass over the cleaned record: calendar bounds, validation totals
-    # and the rows the dimension builds drop (the gate itself is applied
-    # below, after the dimension files exist).
     flagged = flag_rows(cleaned, cfg.validation)
-    n_valid = F.count_if(F.col("is_valid"))
-    one = flagged.agg(
-        F.min("date").alias("lo"), F.max("date").alias("hi"),
-        F.count(F.lit(1)).alias("n_rows"), n_valid.alias("n_valid"),
-        *[c.alias(k) for k, c in dims_op.dropped_row_counts().items()],
-        dims_op.items_without_id(cleaned).alias("items_without_id"),
-    ).first().asDict()
     n_rows, n_ok = one["n_rows"], one["n_valid"]
     stats = {"n_rows": n_rows, "n_valid": n_ok, "n_rejected": n_rows - n_ok,
              "drop_rate": (n_rows - n_ok) / max(n_rows, 1)}
-    dropped = {k: one[k] for k in ("null_buyer_id_rows", "null_item_code_rows",
-                                   "items_without_id")}
-    lap("stats")
 
+    by_mode = cfg.canonicalize.item_attributes == "mode"
+    no_id = Observation("items") if by_mode else None
     dims = {
         "dim_date": dims_op.build_date_dimension(cleaned, bounds=(one["lo"], one["hi"])),
-        "dim_item": dims_op.build_item_dimension(cleaned, cfg.canonicalize),
+        "dim_item": dims_op.build_item_dimension(cleaned, cfg.canonicalize, observation=no_id),
         "dim_buyer": dims_op.build_buyer_dimension(cleaned),
     }
+    dim_rows = {}
     for name, df in dims.items():
-        _write(df, f"{proc}/{name}", fmt)
+        written = Observation(name)
+        _write(df.observe(written, F.count(F.lit(1)).alias("n")), f"{proc}/{name}", fmt)
+        dim_rows[f"{name}_rows"] = written.get["n"]
         lap(name)
+    dropped = {
+        "null_buyer_id_rows": one["null_buyer_id"], "null_item_code_rows": one["null_item_code"],
+        "items_without_id": no_id.get["items_without_id"] if by_mode
+        else cleaned.select(dims_op.items_without_id(cleaned).alias("n")).agg(F.max("n")).first()[0] or 0,
+    }
     for what, n in dropped.items():
         if n:
             log.warning("Dimension build dropped %d (%s).", n, what)
@@ -233,10 +289,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
 
     counts = dict(stats)
     counts.update(dropped)
+    counts.update(dim_rows)
     if cfg.dry_run:
-        for name in dims:
-            counts[f"{name}_rows"] = (spark.read.format(fmt).option("header", True)
-                                      .load(f"{proc}/{name}").count())
         log.info("Dry run, warehouse untouched: %s.", counts)
         return RunResult(proc, None, counts)
 
@@ -261,28 +315,33 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     looked = lookup_keys(spark.read.parquet(f"{proc}/validated_fact_data")
                          if fmt == "parquet" else valid.drop("_seq"),
                          full["dim_date"], full["dim_item"], full["dim_buyer"])
-    looked.withColumn("is_orphan", (~complete_keys()).cast("int")).write.mode("overwrite").partitionBy(
-        "is_orphan").parquet(f"{proc}/looked_up")
-    looked = spark.read.parquet(f"{proc}/looked_up")
+    halves = Observation("looked up")
+    looked.withColumn("is_orphan", (~complete_keys()).cast("int")).observe(
+        halves, F.count_if(F.col("is_orphan") == 0).alias("fact"), F.count_if(F.col("is_orphan") == 1).alias("orphans"),
+    ).write.mode("overwrite").partitionBy("is_orphan").parquet(f"{proc}/looked_up")
+    n_fact, n_orphans = halves.get["fact"], halves.get["orphans"]
+    looked = spark.read.schema(T.StructType([*looked.schema.fields, T.StructField("is_orphan", T.IntegerType())])).parquet(f"{proc}/looked_up")
     fact = split_fact(looked.where("is_orphan = 0").drop("is_orphan"))[0]
     orphans = split_fact(looked.where("is_orphan = 1").drop("is_orphan"))[1]
     lap("lookup")
     if cfg.enforce_constraints:
         assert_constraints(constraint_report(full["dim_date"], full["dim_item"], full["dim_buyer"], fact))
         lap("constraints")
+    # K1: numbered and sorted by date, item and buyer, staged below the checkpoint folder.
+    keyed = with_fact_key(fact, next_fact_key(spark, f"{wdir}/fact_sales", load_id, n_fact), n_fact)
+    lap("fact_keys")
 
     for name, df in fresh.items():
         df.write.mode("append").parquet(f"{wdir}/{name}")
     if cfg.partition_fact_by_date:
         # REBALANCE: AQE splits a hot day over several writers and packs
         # small days together, so files stay near the advisory size.
-        writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
+        writer = keyed.hint("rebalance", "date_key").write.partitionBy("date_key")
     else:
-        writer = fact.write
+        writer = keyed.write
     writer.mode("overwrite").parquet(f"{wdir}/fact_sales/load_id={load_id}")
-    orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
-    n_orphans = spark.read.parquet(f"{proc}/fact_orphans").count()
     counts["n_orphans"] = n_orphans
+    orphans.write.mode("overwrite").parquet(f"{proc}/fact_orphans")
     if n_orphans:
         log.warning("%d validated rows have no key or transaction id (fact_orphans).", n_orphans)
     lap("fact")
@@ -292,6 +351,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str,
     return RunResult(proc, wdir, counts)
 
 
+def dry_run_counts(spark: SparkSession, raw: DataFrame, cfg: EtlConfig | None = None) -> DataFrame:
+    """What a dry run counts, as rows (metric, value): all rows, valid and
+    rejected ones, the rejected share, rows and items that the dimensions
+    drop, and the dimensions' sizes.  Nothing reaches a warehouse."""
+    run = run_pipeline(spark, raw, scratch_path(spark, "dry-run"), replace(cfg or EtlConfig(), dry_run=True))
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(run.counts.items())], "metric string, value double")
+
+
 def publish_jdbc(wh: Warehouse, url: str, schema: str, properties: dict[str, str],
                  cfg: EtlConfig | None = None, mode: str = "append") -> None:
     """S8, database variant: append the four tables through Spark's JDBC

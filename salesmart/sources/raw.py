@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,8 @@ def read_raw_csv(spark: SparkSession, cfg: SourceConfig,
     whatever order, and columns beyond the map are ignored.  Files of one load
     must agree in their header (a differing one is an error, not a mix-up).
     Quoted line breaks need ``cfg.multiline``, which makes a file unsplittable.
-    A ``_seq`` column records file order (file path, then position) for
-    "first value in the file" aggregates.
+    A ``_seq`` column records file order (:func:`file_position`) for "first
+    value in the file" aggregates.
     """
     options = {"header": True, "sep": cfg.delimiter, "encoding": cfg.encoding, "quote": '"',
                "escape": '"', "enforceSchema": False, "multiLine": cfg.multiline}
@@ -41,11 +41,19 @@ def read_raw_csv(spark: SparkSession, cfg: SourceConfig,
         raise ValueError(f"Columns not in the file: {sorted(missing)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = spark.read.schema(schema).options(**options).csv(cfg.path)
-    seq = F.struct(
+    return df.withColumn("_seq", file_position())
+
+
+def file_position() -> Column:
+    """A row's place in its input: file path, then the start of its block in
+    the file, then the row's number inside the task that reads the block.
+    Only rows of one block are compared by the number, so the order does not
+    rest on how blocks are packed into tasks."""
+    return F.struct(
         F.col("_metadata.file_path").alias("f"),
+        F.col("_metadata.file_block_start").alias("b"),
         F.monotonically_increasing_id().alias("i"),
     )
-    return df.withColumn("_seq", seq)
 
 
 def map_columns(raw: DataFrame, column_map: dict[str, str]) -> DataFrame:
@@ -104,20 +112,25 @@ def load_raw_data(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     return clean_raw(read_raw_csv(spark, cfg), cfg)
 
 
+def null_counts(df: DataFrame) -> dict[str, Column]:
+    """One aggregate per data column, for a pass the caller makes anyway."""
+    return {c: F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns if not c.startswith("_")}
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column — name, type, row count, null count.
 
     A single aggregate pass computes every null count; the result is
     reshaped with ``stack`` so no per-column job or driver loop runs.
     """
-    cols = [c for c in df.columns if not c.startswith("_")]
+    nulls = null_counts(df)
     dtypes = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    aggs += [n.alias(f"n{i}") for i, n in enumerate(nulls.values())]
     wide = df.agg(*aggs)
     pairs = ", ".join(
-        f"'{c.replace(chr(39), chr(39) * 2)}', '{dtypes[c]}', n{i}" for i, c in enumerate(cols)
+        f"'{c.replace(chr(39), chr(39) * 2)}', '{dtypes[c]}', n{i}" for i, c in enumerate(nulls)
     )
     return wide.selectExpr(
-        f"stack({len(cols)}, {pairs}) AS (column_name, data_type, n_nulls)", "__n AS n_rows"
+        f"stack({len(nulls)}, {pairs}) AS (column_name, data_type, n_nulls)", "__n AS n_rows"
     ).select("column_name", "data_type", "n_rows", F.col("n_nulls").cast("bigint"))

@@ -6,7 +6,7 @@ delivers each set of newly arrived files as one micro-batch and
 ``foreachBatch`` runs the same :func:`run_pipeline` on it.
 
 Exactly-once: the fact rows of micro-batch ``e`` go to
-``warehouse/fact_sales/batch_id=e`` with overwrite, so a batch that is
+``warehouse/fact_sales/load_id=batch<e>`` with overwrite, so a batch that is
 retried after a failure replaces its own output; dimension loads insert only
 unseen natural keys, so a retry inserts nothing twice.  Progress (which files
 were consumed) lives in the stream's checkpoint, below the shared
@@ -17,14 +17,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salesmart.config import EtlConfig
 from salesmart.plans.warehouse import run_pipeline
 from salesmart.session import scratch_path
-from salesmart.sources.raw import clean_raw
+from salesmart.sources.raw import clean_raw, file_position
 
 
 def raw_stream(spark: SparkSession, in_dir: str, cfg: EtlConfig,
@@ -67,9 +66,7 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, cfg: EtlConfig
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         # File order inside the micro-batch for "first value" aggregates.
-        seq = F.struct(F.col("_metadata.file_path").alias("f"),
-                       F.monotonically_increasing_id().alias("i"))
-        raw = batch.withColumn("_seq", seq) if "_metadata" in batch.columns else batch
+        raw = batch.withColumn("_seq", file_position()) if "_metadata" in batch.columns else batch
         run_pipeline(spark, clean_raw(raw, cfg.source), f"{base}/batches/{epoch_id}", cfg,
                      load_id=f"batch{epoch_id}",
                      warehouse_dir=f"{base}/warehouse")

@@ -132,7 +132,7 @@ def test_rolling_totals_end_on_the_last_day_of_their_context(spark, wh):
 
 
 def test_buyer_view_follows_its_tables_and_stores_nothing(spark, wh, monkeypatch):
-    monkeypatch.setattr(V, "materialize", None)  # a call would fail
+    monkeypatch.setattr("salesmart.session.materialize", None)  # a call would fail
     later = wh[3].where("date_key <= 11")
     rows = {r.buyer_id: r for r in V.clv_per_buyer(wh[0], wh[2], later).collect()}
     assert rows[11].days_since_last_purchase == 10 and rows[44].is_never_purchased
