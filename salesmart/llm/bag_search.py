@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import only
-from salesmart.llm.textops import ALNUM, concat_ranges, row_blocks, span_hashes, text_buffer, word_spans
+from salesmart.llm.textops import ALNUM, concat_ranges, freed, row_blocks, span_hashes, text_buffer, word_spans
 from salesmart.session import materialize
 
 #: Item terms that are searched for at once.  More items are searched in
@@ -71,7 +71,7 @@ def item_terms(items: DataFrame) -> DataFrame:
                      pa.array(np.diff(np.append(at, len(rows))))], names=["item_id", "term", "n"])
 
     kind = items.schema["item_id"].dataType.simpleString()
-    found = only(items, "item_id", "text").mapInArrow(count, f"item_id {kind}, term long, n long")
+    found = only(items, "item_id", "text").mapInArrow(freed(count), f"item_id {kind}, term long, n long")
     return found.groupBy("item_id", "term").agg(F.sum("n").alias("n"))
 
 
@@ -96,7 +96,7 @@ def document_vectors(docs: DataFrame, vocabulary) -> DataFrame:
                     [b["doc_id"].slice(lo, hi - lo), pa.array(np.bincount(rows, minlength=hi - lo)), vec],
                     names=["doc_id", "n", "vec"])
 
-    return only(docs, "doc_id", "text").mapInArrow(vectors, "doc_id long, n long, vec binary")
+    return only(docs, "doc_id", "text").mapInArrow(freed(vectors), "doc_id long, n long, vec binary")
 
 
 def _pairs(vec: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +116,7 @@ def document_frequencies(vectors: DataFrame, size: int) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["term", "df"])
 
-    return vectors.select("vec").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return vectors.select("vec").mapInArrow(freed(count), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def bag_classes(vectors: DataFrame, n_docs: int, n_terms: int, k: int) -> DataFrame:
@@ -189,7 +189,7 @@ def score_classes(classes: DataFrame, query, k: int) -> DataFrame:
             [pa.array(item, pa.int64()), pa.array(doc, pa.int64()), pa.array(got, pa.int64())],
             names=["item", "doc_id", "score"])
 
-    return classes.mapInArrow(score, "item long, doc_id long, score long")
+    return classes.mapInArrow(freed(score), "item long, doc_id long, score long")
 
 
 def _search_block(docs: DataFrame, terms: DataFrame, k: int) -> DataFrame:

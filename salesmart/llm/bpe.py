@@ -96,7 +96,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
                     [part.column(0), pa.array(n), pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(ids)))],
                     names=[id_col, "n_tokens", "ids"])
 
-    direct = rows.where(size <= chunk_chars).mapInArrow(short, out)
+    direct = rows.where(size <= chunk_chars).mapInArrow(T.freed(short), out)
 
     chunks = (
         rows.where(size > chunk_chars)
@@ -155,4 +155,4 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, ids_col: str =
                 raw = [enc.decode_bytes(x.as_py() or []) for x in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=[*names, out_col])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(T.freed(run), schema)

@@ -168,7 +168,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "
             cols = [pa.array(np.diff(first)), *(pa.array([c[j] for c in cells], t) for j, t in enumerate(kinds[1:]))]
             return pa.RecordBatch.from_arrays([*(b[n] for n in carry), *cols], names=[*carry, *extra])
 
-        return frame.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in ({n: dict(frame.dtypes)[n] for n in carry} | extra).items()))
+        return frame.mapInArrow(T.freed(run), ", ".join(f"`{n}` {t}" for n, t in ({n: dict(frame.dtypes)[n] for n in carry} | extra).items()))
 
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_words)
     head = next(blocks, [])

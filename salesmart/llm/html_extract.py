@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.dom import LEAF, Page
 from salesmart.llm.sample_pages import MARK, sample_page
 from salesmart.llm.tables import only
-from salesmart.llm.textops import row_blocks
+from salesmart.llm.textops import freed, row_blocks
 
 #: Element kinds that are features, each as "is one" and "stands in one".
 _KINDS = [("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "fieldset", "legend"), ("article", "main"),
@@ -249,7 +249,7 @@ def fit_extractor(spark: SparkSession, n_pages: int = 500, seed: int = 0, rounds
                 x = node_features([page_arrays(page, weights)])
                 yield pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(label.astype(float))], names=["x", "label"])
 
-    sample = spark.range(0, n_pages, numPartitions=4).mapInArrow(nodes, "x array<double>, label double")
+    sample = spark.range(0, n_pages, numPartitions=4).mapInArrow(freed(nodes), "x array<double>, label double")
     rows = sample.select(array_to_vector("x").alias("features"), "label")
     model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.5, maxBins=32, minInstancesPerNode=4, seed=17,
                           subsamplingRate=1.0, cacheNodeIds=False, checkpointInterval=-1).fit(rows)
@@ -277,4 +277,4 @@ def extract_text(pages: DataFrame, extractor: Extractor | None = None) -> DataFr
     kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     sized = only(pages, "page_id", "url", "html").withColumn("size", F.coalesce(F.octet_length("html"), F.lit(0)).cast("long"))
     return sized.mapInArrow(
-        extract, f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long, n_blocks long")
+        freed(extract), f"page_id {kind['page_id']}, url {kind['url']}, text string, n_chars long, n_blocks long")

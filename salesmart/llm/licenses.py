@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from salesmart.llm.tables import only
+from salesmart.llm.textops import freed
 
 #: Exact phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -154,4 +155,4 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays(
                 [b[id_col], *cols], names=[id_col, "n_words", "phrases", "notices", "base_labels", "labels", "score"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freed(run), schema)

@@ -10,9 +10,10 @@ every text has a probability.
 
 Plan: tasks cut documents into chunks of bounded size and write, once, the
 chunk's distinct words with their training counts, its documents as arrays of
-word numbers, and piece counts.  Words then meet in one shuffle by word (total
-counts and lattice probability, one row per word and chunk), return to their
-chunk in a second one, and each chunk sums its documents with array lookups.
+word numbers, and piece counts.  Words are counted in one aggregation, each
+distinct word is weighed once, a join by word and a shuffle by chunk bring
+counts and probabilities back, and each chunk sums its documents with array
+lookups.
 The driver receives one count per piece (bounded by the vocabulary) and three
 totals.
 
@@ -32,7 +33,6 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesmart.llm import textops as T
@@ -132,14 +132,14 @@ def chunk_words(docs: DataFrame, model_path: str, chunk_bytes: int) -> DataFrame
                            held=pa.array([held.tobytes()], pa.binary()), lengths=pa.array([lengths.tobytes()], pa.binary()),
                            ids=pa.array([pack.compress(np.ascontiguousarray(planes).tobytes())], pa.binary()))
 
-    return docs.mapInArrow(run, kind)
+    return docs.mapInArrow(T.freed(run), kind)
 
 
 _LOWER = {i: i + 32 for i in range(0x41, 0x5B)}
 
 
 def score_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text",
-                    folds: int = 10, chunk_bytes: int = 16 << 20) -> DataFrame:
+                    folds: int = 10, chunk_bytes: int = 8 << 20) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     rows = only(docs, id_col, text_col).select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
@@ -151,41 +151,40 @@ def score_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id",
     pieces, bytes_, end_log = piece_table(model_path, counts, ends)
     longest = max(map(len, pieces))
 
-    by_word = Window.partitionBy("word")
-    met = chunks.where("word is not null").select("word", "chunk", "local", "n").withColumn("c", F.sum("n").over(by_word))
+    # Every distinct word once: its total count and its lattice probability.
+    words = chunks.where("word is not null").select("word", "chunk", "local", "n")
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, p = None, 0.0  # the rows of a word stand together
+        for b in batches:
+            logs = [marginal(w, pieces, bytes_, longest) for w in b["word"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["word"], b["c"], pa.array(logs, pa.float64())], names=["word", "c", "log"])
+
+    totals = words.groupBy("word").agg(F.sum("n").alias("c"))
+    weighed = materialize(totals.mapInArrow(T.freed(weigh), "word string, c bigint, log double"), "words")
+    seen = weighed.agg(F.count_if(F.col("c") > 0).alias("v"), F.sum("c").alias("n")).first()
+    train_tokens, types = (seen.n or 0) + ends, (seen.v or 0) + (1 if ends else 0)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One row per chunk in the batch, its words as packed arrays.
         for b in batches:
             if not b.num_rows:
                 continue
-            coded = b["word"].dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            logs = np.array([p if w == before else marginal(w, pieces, bytes_, longest) for w in words])
-            codes, c = coded.indices.to_numpy(), b["c"].to_numpy()
-            new = np.concatenate(([words[codes[0]] != before], np.diff(codes) != 0)) & (c > 0)
-            before, p = words[codes[-1]], float(logs[codes[-1]])
-            # One row per chunk in the batch, its words as packed arrays.
-            chunk, local = b["chunk"].to_numpy(), b["local"].to_numpy()
+            chunk, local, c, log = (b[n].to_numpy() for n in ("chunk", "local", "c", "log"))
             by = np.argsort(chunk, kind="stable")
             cuts = np.flatnonzero(np.concatenate(([True], np.diff(chunk[by]) != 0)))
             parts = np.split(by, cuts[1:])
-            first = np.arange(len(parts)) == 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk[by[cuts]]), pa.array([local[k].tobytes() for k in parts], pa.binary()),
-                 pa.array([c[k].tobytes() for k in parts], pa.binary()),
-                 pa.array([logs[codes[k]].tobytes() for k in parts], pa.binary()),
-                 pa.array(np.where(first, new.sum(), 0)), pa.array(np.where(first, c[new].sum(), 0))],
-                names=["chunk", "locals", "cs", "logs", "v", "n"])
-
-    weighed = materialize(met.select("word", "chunk", "local", "c").mapInArrow(
-        weigh, "chunk bigint, locals binary, cs binary, logs binary, v bigint, n bigint"), "weighed")
-    seen = weighed.agg(F.sum("v").alias("v"), F.sum("n").alias("n")).first()
-    train_tokens, types = (seen.n or 0) + ends, (seen.v or 0) + (1 if ends else 0)
+                [pa.array(chunk[by[cuts]]), *(pa.array([x[k].tobytes() for k in parts], pa.binary()) for x in (local, c, log))],
+                names=["chunk", "locals", "cs", "logs"])
+
+    # The words return to their chunks; a frequent word's rows are a hot key of
+    # this join only, which adaptive execution may split.
+    returned = materialize(words.join(weighed, "word").select("chunk", "local", "c", "log").mapInArrow(
+        T.freed(pack), "chunk bigint, locals binary, cs binary, logs binary"), "returned")
     floor = train_tokens + 0.1 * (types + 1)
     log_end = math.log10((ends + 0.1) / floor)
 
-    both = weighed.select("chunk", "locals", "cs", "logs").unionByName(
+    both = returned.unionByName(
         chunks.where("ids is not null").select("chunk", "doc_ids", "held", "lengths", "ids"), allowMissingColumns=True)
     # Words first, then the chunk's documents.
     both = both.withColumn("last", F.col("ids").isNotNull()).repartition("chunk").sortWithinPartitions("chunk", "last")
@@ -225,5 +224,5 @@ def score_documents(docs: DataFrame, model_path: str, *, id_col: str = "doc_id",
              pa.array(per_doc(base) + log_end), pa.array((per_doc(log_p) + end_log) / math.log(10))],
             names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return both.mapInArrow(add_up, f"`{id_col}` bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+    return both.mapInArrow(T.freed(add_up), f"`{id_col}` bigint, held_out boolean, n_tokens bigint, n_known bigint, "
                                    "train_tokens bigint, base_score double, score double")

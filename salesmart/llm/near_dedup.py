@@ -83,7 +83,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
                 [b[id_col].cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(values, pa.binary())],
                 names=["doc_id", "n_shingles", "set_id", "values"])
 
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id string, values binary")
+    return rows.mapInArrow(T.freed(run), "doc_id bigint, n_shingles bigint, set_id string, values binary")
 
 
 def start_paths(records: DataFrame, trees: int) -> DataFrame:
@@ -103,7 +103,7 @@ def start_paths(records: DataFrame, trees: int) -> DataFrame:
                     [pa.array(node.view(np.int64)), pa.array(np.full(len(node), 2, np.int32)), b["unit"], sketch],
                     names=["node", "depth", "unit", "sketch"])
 
-    return records.mapInArrow(run, "node bigint, depth int, unit bigint, sketch binary")
+    return records.mapInArrow(T.freed(run), "node bigint, depth int, unit bigint, sketch binary")
 
 
 def similar_groups(sketches: np.ndarray, least: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +210,7 @@ def walk_level(paths: DataFrame, node_limit: int, max_depth: int, least: int, ho
         yield from close()
 
     return (paths.repartition("node").sortWithinPartitions("node", "unit")
-            .select("node", "depth", "unit", "sketch").mapInArrow(run, kind))
+            .select("node", "depth", "unit", "sketch").mapInArrow(T.freed(run), kind))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

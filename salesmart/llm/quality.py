@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.tables import only
+from salesmart.llm.tables import free_name, only
 
 SPACE = r"[ \x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -154,10 +154,10 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
                   good_col: str = "quality", **fitting) -> DataFrame:
     """All columns of ``docs`` plus a struct ``rules`` with n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score,
-    kept."""
+    kept (named ``rules_`` where the input has a column ``rules``)."""
     weights, threshold = fit(docs, labels, id_col=id_col, text_col=text_col, good_col=good_col, **fitting)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     judged = score(with_rules(whole).drop("w", "grams"), weights)
     judged = judged.withColumn("kept", F.expr("not base_failed") & F.coalesce(F.col("score") >= F.lit(threshold), F.lit(False)))
-    return judged.select("row.*", F.struct(*names).alias("rules"))
+    return judged.select("row.*", F.struct(*names).alias(free_name(docs, "rules")))

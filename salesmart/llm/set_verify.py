@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import components
+from salesmart.llm.textops import freed
 from salesmart.session import materialize
 
 U64 = np.uint64
@@ -103,7 +104,7 @@ def verified_components(members: DataFrame, to_sets, percent: int) -> DataFrame:
             yield out
 
     return (members.repartition("key").sortWithinPartitions("key", "unit")
-            .select("key", "unit", "text").mapInArrow(run, "a bigint, b bigint"))
+            .select("key", "unit", "text").mapInArrow(freed(run), "a bigint, b bigint"))
 
 
 def split_keys(rows: DataFrame, sizes: DataFrame, max_hashes: int) -> DataFrame:

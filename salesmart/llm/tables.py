@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.textops import freed
 from salesmart.session import materialize
 
 
@@ -14,6 +19,58 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with ``_`` appended until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components as the edges (a, b) as one star each: (node, smallest
+    node of its component), for the nodes that are not the smallest.  Labels
+    sink along the edges and jump to their label's label until nothing moves."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        for side in (u, v, label[u], label[v]):
+            np.minimum.at(new, side, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]
+
+
+def contracted(edges: DataFrame, block: int = 1 << 20) -> DataFrame:
+    """(u, v), u > v: blocks of at most ``block`` edges of each task, each
+    replaced by stars with the same components.  Rounds over all edges then
+    start from fewer and shorter ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def close() -> pa.RecordBatch:
+            u, v = stars(np.concatenate([x["a"].to_numpy() for x in held]), np.concatenate([x["b"].to_numpy() for x in held]))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+            if sum(x.num_rows for x in held) >= block:
+                yield close()
+        if held:
+            yield close()
+
+    return edges.where("a != b").select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).mapInArrow(
+        freed(run), "u bigint, v bigint")
+
+
 def _are_stars(edges: DataFrame) -> bool:
     """Whether each node of ``edges(u, v)`` is a ``u`` once at most, and no
     node is both a ``u`` and a ``v``."""
@@ -27,14 +84,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, component), with the
     smallest node as component; nodes without an edge do not appear.
 
-    Alternating large-star and small-star rounds: each round joins edges
+    Every task first replaces its edges by stars.  Then alternating large-star
+    and small-star rounds: each round joins edges
     with the minimum of each node's neighbours.  They end when every node is
     either a root or the child of one root.  Every step is stored in the
     shared folder, so both join sides are plain shuffles that adaptive
     execution can split at a hub, and a lost executor repeats one round only.
     """
-    e = materialize(edges.where("a != b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "uf-edges")
+    e = materialize(contracted(edges).distinct(), "uf-edges")
     for _ in range(max_rounds):
         if _are_stars(e):
             break

@@ -6,6 +6,9 @@ that buffer with numpy, so no Python object exists per word.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,6 +34,22 @@ def seeds(n: int, salt: int) -> np.ndarray:
         return mix64(np.arange(1, n + 1, dtype=U64) * U64(_MULT) + U64(salt * 7919 + 1))
 
 
+def freed(run: Callable) -> Callable:
+    """``run`` (a function over Arrow batches) that gives its memory back when
+    its task ends: Python workers live on between tasks, and what an allocator
+    holds counts against the executor."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def _byte_table() -> np.ndarray:
     t = seeds(256, 1)
     t[ord("A"): ord("Z") + 1] = t[ord("a"): ord("z") + 1]

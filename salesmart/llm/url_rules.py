@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import only
+from salesmart.llm.textops import freed
 
 END = "\U0010FFFF"
 
@@ -88,7 +89,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
                 names=["bucket", "key", "tag", "id", "url"])
 
     kinds = dict(base.dtypes)
-    dealt = probes.mapInArrow(deal, f"bucket int, key string, tag string, id {kinds['id']}, url string")
+    dealt = probes.mapInArrow(freed(deal), f"bucket int, key string, tag string, id {kinds['id']}, url string")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -131,7 +132,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
                 [rows["id"], rows["url"], *(pa.array([f[j] for f in found], pa.string()) for j in (2, 3, 1))],
                 names=["id", "url", "rhost", "rpath", "verdict"])
 
-    hits = both.mapInArrow(sweep, f"id {kinds['id']}, url string, rhost string, rpath string, verdict string")
+    hits = both.mapInArrow(freed(sweep), f"id {kinds['id']}, url string, rhost string, rpath string, verdict string")
     length = F.length("rhost") + F.length("rpath")
     best = hits.groupBy(F.col("id").alias("bid"), F.col("url").alias("burl")).agg(
         F.max(F.struct(length.alias("n"), F.length("rhost").alias("h"), "rhost", "rpath", "verdict")).alias("best"))

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import only
+from salesmart.llm.textops import freed
 
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -123,7 +124,7 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *b.columns], names=["shard", *b.schema.names])
 
     kinds = ", ".join(f"{c} {t}" for c, t in both.dtypes)
-    dealt = both.mapInArrow(deal, f"shard int, {kinds}").repartition(n, "shard").sortWithinPartitions(
+    dealt = both.mapInArrow(freed(deal), f"shard int, {kinds}").repartition(n, "shard").sortWithinPartitions(
         "shard", "page_id", "digest", "url", "mark")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,7 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
             names=["temporary", "shard", "part", "records", "bytes", "sha256"])
 
     return commit(spark, dealt.mapInArrow(
-        write, "temporary string, shard int, part int, records bigint, bytes bigint, sha256 string"), target)
+        freed(write), "temporary string, shard int, part int, records bigint, bytes bigint, sha256 string"), target)
 
 
 def commit(spark: SparkSession, written: DataFrame, target: str) -> DataFrame:
@@ -204,7 +205,7 @@ def commit(spark: SparkSession, written: DataFrame, target: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *b.columns[1:]], names=["file", *b.schema.names[1:]])
 
     spark.read.parquet(staged).mapInArrow(
-        rename, "file string, shard int, part int, records bigint, bytes bigint, sha256 string"
+        freed(rename), "file string, shard int, part int, records bigint, bytes bigint, sha256 string"
     ).write.mode("errorifexists").parquet(f"{target}/manifest")
     return spark.read.parquet(f"{target}/manifest")
 
@@ -279,5 +280,5 @@ def read_warc(spark: SparkSession, target: str) -> DataFrame:
     # One task per file: a set number, as adaptive execution would put all of
     # the manifest's small rows, and so all files, into one task.
     return listed.repartition(max(1, listed.count())).mapInArrow(
-        read, "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, "
+        freed(read), "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, "
               "payload_digest string, refers_to bigint, record_id string")

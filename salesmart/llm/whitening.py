@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import only
+from salesmart.llm.textops import freed
 from salesmart.session import materialize
 
 EPS = np.finfo(float).eps
@@ -152,7 +153,7 @@ def _totals(fit: DataFrame, partial, size: int) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=["part"])
 
-    parts = fit.select("x").mapInArrow(add, f"part array<{kind}>")
+    parts = fit.select("x").mapInArrow(freed(add), f"part array<{kind}>")
     sums = parts.select(F.posexplode("part").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v"))
     out = np.zeros(size, np.int64 if kind == "long" else float)
     for row in sums.collect():
@@ -269,4 +270,4 @@ def whiten(rows: DataFrame, n_components: int = 4, vector: str = "embedding") ->
                 pa.array([s.identity_error] * (rows * k), pa.float64()),
             ], names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
-    return vectors.where(F.size("x") == len(state.sums)).mapInArrow(apply, schema)
+    return vectors.where(F.size("x") == len(state.sums)).mapInArrow(freed(apply), schema)
