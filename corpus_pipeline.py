@@ -19,14 +19,12 @@ decisions:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 from salesmart.llm.queries import pre_token_pattern, table, tokenizer
+from salesmart.llm.tables import free_name
 from salesmart.session import materialize
 
 #: SQL cannot express the hashed, fitted and fuzzy stages.
@@ -48,12 +46,13 @@ def _columns(docs: DataFrame, text: Column | None = None) -> list[Column]:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return _kept(judged, F.col("rules.kept"), _columns(docs))
+    return _kept(judged, F.col(f"`{free_name(docs, 'rules')}`.kept"), _columns(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(docs)
-    empty = (F.col("lines.n_lines") > 0) & (F.col("lines.n_removed") == F.col("lines.n_lines"))
+    lines = f"`{free_name(docs, 'lines')}`"
+    empty = (F.col(f"{lines}.n_lines") > 0) & (F.col(f"{lines}.n_removed") == F.col(f"{lines}.n_lines"))
     return _kept(done, ~empty, _columns(docs, F.col("text")))
 
 
@@ -64,27 +63,18 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    whole = docs.select(F.struct(*_columns(docs)).alias("row"), "doc_id", "text")
+    others = [c for c in docs.columns if c != "text"]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "doc_id", "text")
     found = decontaminate.find_contamination(whole, table(spark, sf_dir, "benchmark"), keep=("row", "text"))
-    judged = found.select("row", "text", F.when(
-        F.expr("n_hit > 0 and 20 * n_hit >= n_words"), F.col("byte_spans")).alias("spans"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for text, spans in zip(b["text"].to_pylist(), b["spans"].to_pylist()):
-                if spans:
-                    raw, at, parts = text.encode(), 0, []
-                    for s in spans:
-                        parts.append(raw[at: s["first"]])
-                        at = s["last"]
-                    text = b"".join([*parts, raw[at:]]).decode()
-                out.append(text)
-            yield pa.RecordBatch.from_arrays([b["row"], pa.array(out, pa.string())], names=["row", "text"])
-
-    kind = judged.schema["row"].dataType.simpleString()
-    done = judged.mapInArrow(cut, f"row {kind}, text string")
-    return done.select("row.*", F.col("text").alias("new_text")).select(_columns(docs, F.col("new_text")))
+    left = F.expr("""
+        cast(aggregate(byte_spans, named_struct('at', 0L, 'kept', cast('' as binary)),
+          (acc, s) -> named_struct('at', s.last, 'kept', concat(acc.kept,
+             substring(cast(text as binary), cast(acc.at + 1 as int), cast(s.first - acc.at as int)))),
+          acc -> concat(acc.kept, substring(cast(text as binary), cast(acc.at + 1 as int)))) as string)""")
+    judged = found.select("row", F.when(F.expr("n_hit > 0 and 20 * n_hit >= n_words"), left).otherwise(
+        F.col("text")).alias("new_text"))
+    new = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("bigint")}
+    return judged.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
