@@ -57,9 +57,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, **options):
     """Compute ``df`` once into a Parquet table below the shared checkpoint
-    folder and return a DataFrame reading it.
+    folder and return a DataFrame reading it (``options`` of the writer).
 
     Used where a plan is referenced several times (a scalar subquery plus the
     main plan, a rank's sampling pass plus its join-back): every reference
@@ -70,7 +70,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
 
 
