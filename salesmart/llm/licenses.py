@@ -12,9 +12,11 @@ repeated rows stay, one result row per input row.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -92,22 +94,30 @@ def fuzzy_matches(text: str, notices: tuple[tuple[str, str], ...], rate: float)
             windows.setdefault(i, []).append((lo, start - offset + len(notices[i][1]) + k))
     out = []
     for i, spans in windows.items():
-        spans.sort()
-        joined = [list(spans[0])]
-        for lo, hi in spans[1:]:
-            if lo <= joined[-1][1]:
-                joined[-1][1] = max(hi, joined[-1][1])
-            else:
-                joined.append([lo, hi])
-        # The best match of a stretch, then what stands before and after it.
-        open_parts = [(lo, min(hi, len(text))) for lo, hi in joined]
-        least = len(notices[i][1]) - patterns[i][1]
-        while open_parts:
-            lo, hi = open_parts.pop()
-            m = patterns[i][0].search(text, lo, hi) if hi - lo >= least else None
-            if m:
-                out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                open_parts += [(lo, m.start()), (m.end(), hi)]
+        size, k = len(notices[i][1]), patterns[i][1]
+        # Seeds of one place lie within k of each other: one search for them,
+        # in a window too short for a second notice.
+        found: set[tuple[int, int, int]] = set()
+        first = upto = None
+        for lo, hi in [*sorted(set(spans)), (len(text) + k + 1, 0)]:
+            if first is not None and lo > first + k:
+                m = patterns[i][0].search(text, first, min(upto, len(text)))
+                if m:
+                    found.add((sum(m.fuzzy_counts), m.start(), m.end()))
+                first = None
+            if first is None:
+                first = upto = lo
+            upto = max(upto, hi)
+        # The best ones first; what overlaps a better one is no match.
+        starts: list[int] = []
+        ends: dict[int, int] = {}
+        for errors, start, end in sorted(found):
+            at = bisect_left(starts, start)
+            if (at and ends[starts[at - 1]] > start) or (at < len(starts) and starts[at] < end):
+                continue
+            starts.insert(at, start)
+            ends[start] = end
+            out.append((i, start, end, errors))
     return sorted(out, key=lambda x: (x[1], x[0]))
 
 
@@ -133,18 +143,24 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         if not words:
             return 0, [], [], [], [], 0.0
         closed = b" " + words + b" "
-        exact = []
-        for phrase, label in PHRASES.items():
-            for at in phrase_places(closed, phrase.encode()):
-                first = closed.count(b" ", 0, at)
+        places = [(at, phrase, label) for phrase, label in PHRASES.items()
+                  for at in phrase_places(closed, phrase.encode())]
+        exact, fuzzy = [], []
+        if places:
+            # Word numbers: the spaces before a place, found once per text.
+            spaces = np.flatnonzero(np.frombuffer(closed, np.uint8) == 0x20)
+            for (_, phrase, label), first in zip(places, np.searchsorted(spaces, [x[0] for x in places]).tolist()):
                 exact.append({"label": label, "first_word": first, "last_word": first + phrase.count(" "), "errors": 0})
         exact.sort(key=lambda x: (x["first_word"], x["label"]))
-        plain, fuzzy, best = words.decode(), [], 1.0 if exact else 0.0
-        for i, a, b, errors in fuzzy_matches(plain, known, rate):
-            first = plain.count(" ", 0, a)
-            fuzzy.append({"label": known[i][0], "first_word": first,
-                          "last_word": first + plain.count(" ", a, b), "errors": errors})
-            best = max(best, 1 - errors / len(known[i][1]))
+        plain, best = words.decode(), 1.0 if exact else 0.0
+        matches = fuzzy_matches(plain, known, rate)
+        if matches:
+            spaces = np.flatnonzero(np.frombuffer(plain.encode("utf-32-le"), np.uint32) == 0x20)
+            firsts = np.searchsorted(spaces, [m[1] for m in matches]).tolist()
+            lasts = np.searchsorted(spaces, [m[2] for m in matches]).tolist()
+            for (i, _, _, errors), first, last in zip(matches, firsts, lasts):
+                fuzzy.append({"label": known[i][0], "first_word": first, "last_word": last, "errors": errors})
+                best = max(best, 1 - errors / len(known[i][1]))
         base = sorted({x["label"] for x in exact})
         return (words.count(b" ") + 1, exact, fuzzy, base, sorted({*base, *(x["label"] for x in fuzzy)}), best)
 

@@ -64,18 +64,25 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
     host, path = host_and_path(F.col("url"))
     base = base.select(F.col(id_col).alias("id"), "url", host.alias("host"), path.alias("path"))
 
+    # A rule of d labels can fit a host at its last d labels only: those depths
+    # that some rule has are probed, whatever the host's length.  A probe
+    # carries a hash of the url in its place.
+    base = base.withColumn("url_hash", F.xxhash64("url"))
     labels = F.reverse(F.split("host", r"\."))
+    depths = [r.d for r in rules.where("host is not null").select(
+        F.size(F.split("host", r"\.")).alias("d")).distinct().orderBy("d").collect()]
     probes = (
         base.where("host != ''")
         .withColumn("labels", labels)
-        .withColumn("depth", F.explode(F.sequence(F.lit(1), F.size("labels"))))
-        .select("id", "url", "depth",
+        .withColumn("depth", F.explode(F.filter(F.array(*[F.lit(d) for d in depths]).cast("array<int>"),
+                                                lambda d: d <= F.size("labels"))))
+        .select("id", "url_hash", "depth",
                 F.concat(F.array_join(F.slice("labels", F.lit(1), F.col("depth")), "."), F.lit("."), "path").alias("key"))
     )
     # Cut points: ranks of the `wanted` smallest hashes, a uniform sample
     # whose size follows the number of ranges, not the rows.
     wanted = 32 * ranges
-    tag = F.lpad(F.hex(F.xxhash64("id", "url", "depth")), 16, "0")
+    tag = F.lpad(F.hex(F.xxhash64("id", "url_hash", "depth")), 16, "0")
     probes = probes.withColumn("tag", tag)
     sample = sorted((r.key, r.tag) for r in probes.select("key", "tag").distinct().orderBy("tag", "key").limit(wanted).collect())
     cuts = [sample[i] for i in range(len(sample) // ranges or 1, len(sample), max(1, len(sample) // ranges))]
@@ -85,11 +92,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
         for b in batches:
             at = [bisect_right(cuts, kt) for kt in zip(b["key"].to_pylist(), b["tag"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), b["key"], b["tag"], b["id"], b["url"]],
-                names=["bucket", "key", "tag", "id", "url"])
+                [pa.array(at, pa.int32()), b["key"], b["tag"], b["id"], b["url_hash"]],
+                names=["bucket", "key", "tag", "id", "url_hash"])
 
     kinds = dict(base.dtypes)
-    dealt = probes.mapInArrow(freed(deal), f"bucket int, key string, tag string, id {kinds['id']}, url string")
+    dealt = probes.mapInArrow(freed(deal), f"bucket int, key string, tag string, id {kinds['id']}, url_hash bigint")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -129,14 +136,14 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
                     found.append(min((x for x in reversed(stack) if x[0] == stack[-1][0]), key=lambda x: x[1]))
             rows = batch.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [rows["id"], rows["url"], *(pa.array([f[j] for f in found], pa.string()) for j in (2, 3, 1))],
-                names=["id", "url", "rhost", "rpath", "verdict"])
+                [rows["id"], rows["url_hash"], *(pa.array([f[j] for f in found], pa.string()) for j in (2, 3, 1))],
+                names=["id", "url_hash", "rhost", "rpath", "verdict"])
 
-    hits = both.mapInArrow(freed(sweep), f"id {kinds['id']}, url string, rhost string, rpath string, verdict string")
+    hits = both.mapInArrow(freed(sweep), f"id {kinds['id']}, url_hash bigint, rhost string, rpath string, verdict string")
     length = F.length("rhost") + F.length("rpath")
-    best = hits.groupBy(F.col("id").alias("bid"), F.col("url").alias("burl")).agg(
+    best = hits.groupBy(F.col("id").alias("bid"), F.col("url_hash").alias("burl")).agg(
         F.max(F.struct(length.alias("n"), F.length("rhost").alias("h"), "rhost", "rpath", "verdict")).alias("best"))
-    return base.join(best, base.id.eqNullSafe(best.bid) & base.url.eqNullSafe(best.burl), "left").select(
+    return base.join(best, base.id.eqNullSafe(best.bid) & (base.url_hash == best.burl), "left").select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "host", "path",
         F.concat("best.rhost", "best.rpath").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

@@ -1,15 +1,16 @@
 """WARC archives: deterministic sharded writer and reader.
 
 Writer: records are sorted by (page_id, payload digest, url) and dealt to
-shards whose bounds depend on the data alone (ranks of a hash sample of the
-ids); each shard is written as a sequence of ``.warc.gz`` files, one gzip
-member per record, and a new file begins when the compressed size reaches
-``roll_bytes``.  Record ids, dates, digests and lengths are regenerated from
+shards whose number and bounds depend on the data alone (total size; byte
+quantiles of a hash sample of the records), not on any session setting; each
+shard is written as a sequence of ``.warc.gz`` files, one gzip member per
+record after a warcinfo record, and a new file begins when the compressed size
+reaches ``roll_bytes``.  Record ids, dates, digests and lengths are regenerated from
 the content, so the same rows give the same bytes whatever the partitioning.
 A task writes under a name of its own attempt; the returned manifest names the
 attempt that succeeded, and committing renames those files, in file order, and
-stores the manifest last.  A file that no manifest names is not part of the
-archive.
+stores the manifest last; what failed attempts left is removed.  A file that
+no manifest names is not part of the archive.
 
 Of records with equal payloads (at least ``min_bytes``) the one with the
 largest page_id is a response, the others are revisits that refer to it.
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.tables import only
-from salesmart.llm.textops import freed
+from salesmart.llm.textops import freed, row_blocks, text_buffer
 
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -74,7 +75,23 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, copy: int
         f"Page-ID: {'' if page_id is None else page_id}",
     ]
     if refers:
-        head += [f"WARC-Profile: {PROFILE}", f"Refers-To-Page: {refers[0]}", f"Payload-Length: {len(payload)}"]
+        page, target = refers
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(str(page), target, digest, 0)}",
+                 f"WARC-Refers-To-Target-URI: {header_value(target)}", f"WARC-Refers-To-Date: {DATE}",
+                 f"Refers-To-Page: {'' if page is None else page}", f"Payload-Length: {len(payload)}"]
+    return member(head, block)
+
+
+def file_head(name: str) -> bytes:
+    """The warcinfo record that opens the file ``name``."""
+    block = b"software: salesmart\r\nformat: WARC File Format 1.1\r\n"
+    return member([
+        "WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>",
+        f"WARC-Date: {DATE}", f"WARC-Filename: {name}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}",
+        "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"], block)
+
+
+def member(head: list[str], block: bytes) -> bytes:
     raw = ("\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
     out = io.BytesIO()
     with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=6, mtime=0, filename="") as f:
@@ -90,8 +107,8 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", min_bytes: int = 0, shard_bytes: int = 256 << 20,
-               roll_bytes: int = 32 << 20, max_shards: int | None = None) -> DataFrame:
+               html_col: str = "html", min_bytes: int = 0, shard_bytes: int = 32 << 20,
+               roll_bytes: int = 32 << 20, max_shards: int = 1 << 14) -> DataFrame:
     """Writes the archive under ``target`` and returns its manifest (file,
     shard, part, records, bytes, sha256), which is also stored there."""
     spark = pages.sparkSession
@@ -100,31 +117,38 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
         F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     total = rows.agg(F.sum(F.length("payload") + 512)).first()[0] or 0
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
-    if max_shards:
-        n = min(n, max_shards)
-    # Shard bounds: ranks of the 32 n ids with the smallest hashes, a sample
-    # that depends on the ids only.
-    ids = rows.where("page_id is not null").select("page_id").distinct()
-    sample = sorted(r.page_id for r in ids.orderBy(F.xxhash64("page_id"), "page_id").limit(32 * n).collect())
-    bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
+    n = int(min(max(1, -(-total // shard_bytes)), max_shards))
+    # Shard bounds: byte quantiles of the 32 n records with the smallest
+    # hashes, a sample that depends on the records only.  Null ids come first
+    # and are told apart by their digests.
+    known = rows.select(F.col("page_id").isNotNull().alias("known"), F.coalesce("page_id", F.lit(0)).alias("page"), "digest",
+                        F.length("payload").alias("size")).distinct()
+    sample = sorted((r.known, r.page, r.digest, r.size) for r in known.orderBy(
+        F.xxhash64("page", "digest"), "page", "digest", "known").limit(32 * n).collect()) if n > 1 else []
+    bounds, seen, whole = [], 0, sum(r[3] + 512 for r in sample)
+    for *key, size in sample:
+        seen += size + 512
+        if len(bounds) < n - 1 and seen * n >= whole * (len(bounds) + 1):
+            bounds.append(tuple(key))
 
     # The response of every payload that more than one record has.  Digest
     # and id alone are shuffled for it; the payload is shuffled once, to its shard.
     lead = rows.where(F.length("payload") >= min_bytes).groupBy("digest").agg(
-        F.max("page_id").alias("first_page"), F.count("*").alias("n")).where("n > 1").select("digest", "first_page")
+        F.max("page_id").alias("first_page"), F.count("*").alias("n"),
+        F.min_by("url", F.struct(F.col("page_id").isNull(), -F.col("page_id"), F.col("url"))).alias("first_url"),
+    ).where("n > 1").drop("n")
     marks = rows.select("page_id", "url", "digest").join(lead, "digest").select(
-        "page_id", "url", "digest", "first_page").distinct()
+        "page_id", "url", "digest", "first_page", "first_url").distinct()
     both = rows.withColumn("mark", F.lit(1)).unionByName(
         marks.withColumn("mark", F.lit(0)), allowMissingColumns=True)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = [0 if p is None else bisect_left(bounds, p) for p in b["page_id"].to_pylist()]
+            at = [bisect_left(bounds, (p is not None, p or 0, d)) for p, d in zip(b["page_id"].to_pylist(), b["digest"].to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *b.columns], names=["shard", *b.schema.names])
 
     kinds = ", ".join(f"{c} {t}" for c, t in both.dtypes)
-    dealt = both.mapInArrow(freed(deal), f"shard int, {kinds}").repartition(n, "shard").sortWithinPartitions(
+    dealt = both.mapInArrow(freed(deal), f"shard int, {kinds}").repartitionById(n, F.col("shard")).sortWithinPartitions(
         "shard", "page_id", "digest", "url", "mark")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,12 +167,12 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
                 done.append((f"{attempt}-{shard:06d}-{part:05d}", shard, part, count, size, sha.hexdigest()))
                 stream = None
 
-        for b in batches:
-            for s, page, url, payload, digest, is_row, first in zip(*(b[c].to_pylist() for c in (
-                    "shard", "page_id", "url", "payload", "digest", "mark", "first_page"))):
+        for b in blocks(batches):
+            for s, page, url, payload, digest, is_row, first, first_url in zip(*(b[c].to_pylist() for c in (
+                    "shard", "page_id", "url", "payload", "digest", "mark", "first_page", "first_url"))):
                 key = (page, url, digest)
                 if not is_row:
-                    mark = (key, first)
+                    mark = (key, first, first_url)
                     continue
                 if s != shard:
                     close()
@@ -160,17 +184,19 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
                     # The largest id responds; of its own copies (they stand
                     # together) the first.
                     if page != mark[1] or leader == (page, digest):
-                        refers = ("" if mark[1] is None else mark[1],)
+                        refers = mark[1:]
                     else:
                         leader = (page, digest)
                 raw = record(page, url, payload, base64.b32encode(bytes.fromhex(digest)).decode(), copy, refers)
-                if stream is not None and size and size + len(raw) > roll_bytes:
+                if stream is not None and size + len(raw) > roll_bytes:
                     close()
                     part += 1
                 if stream is None:
                     stream = fs.open_output_stream(f"{base}/_attempts/{attempt}-{shard:06d}-{part:05d}")
-                    size = count = 0
-                    sha = hashlib.sha256()
+                    count, sha, first_bytes = 0, hashlib.sha256(), file_head(file_name(shard, part))
+                    stream.write(first_bytes)
+                    sha.update(first_bytes)
+                    size = len(first_bytes)
                 stream.write(raw)
                 sha.update(raw)
                 size += len(raw)
@@ -185,6 +211,17 @@ def write_warc(pages: DataFrame, target: str, *, id_col: str = "page_id", url_co
         freed(write), "temporary string, shard int, part int, records bigint, bytes bigint, sha256 string"), target)
 
 
+def file_name(shard: int, part: int) -> str:
+    return f"part-{shard:06d}-{part:05d}.warc.gz"
+
+
+def blocks(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``size`` payload bytes (one row at least)."""
+    for b in batches:
+        for lo, hi in row_blocks(text_buffer(b["payload"])[1], size):
+            yield b.slice(lo, hi - lo)
+
+
 def commit(spark: SparkSession, written: DataFrame, target: str) -> DataFrame:
     """Renames the files of successful attempts to their final names, one row
     per file, then stores the manifest.  Run again after a failure it finds
@@ -198,7 +235,7 @@ def commit(spark: SparkSession, written: DataFrame, target: str) -> DataFrame:
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(target)
         for b in batches:
-            names = [f"part-{s:06d}-{p:05d}.warc.gz" for s, p in zip(b["shard"].to_pylist(), b["part"].to_pylist())]
+            names = [file_name(s, p) for s, p in zip(b["shard"].to_pylist(), b["part"].to_pylist())]
             for temporary, name in zip(b["temporary"].to_pylist(), names):
                 if fs.get_file_info(f"{base}/_attempts/{temporary}").type == pafs.FileType.File:
                     fs.move(f"{base}/_attempts/{temporary}", f"{base}/{name}")
@@ -207,6 +244,8 @@ def commit(spark: SparkSession, written: DataFrame, target: str) -> DataFrame:
     spark.read.parquet(staged).mapInArrow(
         freed(rename), "file string, shard int, part int, records bigint, bytes bigint, sha256 string"
     ).write.mode("errorifexists").parquet(f"{target}/manifest")
+    if fs.get_file_info(f"{base}/_attempts").type == pafs.FileType.Directory:
+        fs.delete_dir(f"{base}/_attempts")
     return spark.read.parquet(f"{target}/manifest")
 
 
@@ -252,10 +291,12 @@ def read_warc(spark: SparkSession, target: str) -> DataFrame:
                 if hashlib.sha256(raw).hexdigest() != sha:
                     raise ValueError(f"{name} differs from the manifest")
                 rows = []
-                for member in members(raw):
-                    h, block = parse_member(member)
+                for one in members(raw):
+                    h, block = parse_member(one)
                     if f"sha1:{base32_sha1(block)}" != h["WARC-Block-Digest"]:
                         raise ValueError(f"{name}: block digest of {h['WARC-Record-ID']}")
+                    if h["WARC-Type"] == "warcinfo":
+                        continue
                     digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
                     payload = None
                     if h["WARC-Type"] == "response":
