@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,18 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """``materialize``, then a garbage collection on the driver: Spark's cleaner
+    removes the shuffle files of a finished step once the driver's collector
+    has found its plan unreachable, which may otherwise take half an hour."""
+    spark = df.sparkSession
+    out = materialize(df, name, **options)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with ``_`` appended until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
