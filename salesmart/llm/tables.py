@@ -32,6 +32,15 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return out
 
 
+def drop_stored(df: DataFrame) -> None:
+    """Deletes the folder of a ``stored`` table that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with ``_`` appended until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
