@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from salesmart.llm import (bpe, decontaminate, licenses, line_dedup, lm_scoring, near_dedup, quality,
@@ -73,8 +74,9 @@ def test_components(spark):
 def test_bpe_equals_the_library_and_round_trips(docs, texts, none):
     ranks, pattern = queries.tokenizer("byte_bpe_50k.tiktoken"), queries.pre_token_pattern()
     enc = bpe.encoder(ranks, pattern)
-    for size, overlap in ((1 << 15, 1 << 10), (64, 16), (50, 3)):
-        out = bpe.decode(bpe.encode(docs, ranks, pattern, chunk_chars=size, overlap=overlap), ranks, pattern)
+    # Chunks of one task, then chunks as rows; small ones have overlaps without a common boundary.
+    for size, overlap, spread in ((1 << 11, 1 << 7, 1 << 17), (64, 16, 1 << 17), (50, 3, 1 << 17), (64, 16, 200), (50, 3, 200)):
+        out = bpe.decode(bpe.encode(docs, ranks, pattern, chunk_chars=size, overlap=overlap, spread_chars=spread), ranks, pattern)
         rows = out.collect()
         assert len(rows) == len(texts) + 2
         for r in rows:
@@ -84,6 +86,26 @@ def test_bpe_equals_the_library_and_round_trips(docs, texts, none):
     assert bpe.decode(bpe.encode(none, ranks, pattern), ranks, pattern).count() == 0
 
 
+def test_bpe_stitches_any_text():
+    ranks, pattern = queries.tokenizer("byte_bpe_50k.tiktoken"), queries.pre_token_pattern()
+    enc, r = bpe.encoder(ranks, pattern), random.Random(5)
+    for _ in range(400):
+        text = "".join(r.choice(["'re", "'", "ll", " ", "  ", "\n", "\u2003", "aé", "12", "!!", "漢", "x" * 30, " " * 25, "\u0301"])
+                       for _ in range(r.randrange(120)))
+        size, overlap = r.choice([(20, 6), (33, 11), (64, 16), (7, 2)])
+        assert bpe.stitched_ids(enc, text, pattern, size, overlap).tolist() == enc.encode_ordinary(text), repr(text)
+
+
+def test_bpe_repeated_long_rows(spark):
+    ranks, pattern = queries.tokenizer("byte_bpe_50k.tiktoken"), queries.pre_token_pattern()
+    long = " ".join(words(400, 3))
+    rows = [(1, long)] * 5 + [(None, long), (1, long + "!"), (2, long)]
+    got = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), ranks, pattern, chunk_chars=50, overlap=9, spread_chars=300)
+    enc = bpe.encoder(ranks, pattern)
+    assert sorted(map(str, got.collect())) == sorted(
+        str(Row(doc_id=i, n_tokens=len(x), ids=x)) for i, x in ((i, enc.encode_ordinary(t)) for i, t in rows))
+
+
 def test_url_rules(spark):
     rules = queries.RULES + [("block", "deep.a.example.com", "/en/x/"), ("allow", "org", "")]
     urls = ["http://Example.COM/en/1", "https://www.example.com/en/?q#f", "http://a.b.net/es/x", "http://net/fr/",
