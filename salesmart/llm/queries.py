@@ -156,12 +156,45 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "rules.*")
 
 
-@register("op7_near_dedup")
+@register("op7_near_dedup", r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS k1, md5_number_lower(array_to_string(w[i:i + 4], ' ')) AS k2
+      FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    links AS MATERIALIZED (
+      SELECT a.doc_id AS a, b.doc_id AS b
+      FROM s a JOIN s b ON a.k1 = b.k1 AND a.k2 = b.k2 AND a.doc_id <> b.doc_id
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+    reach AS (
+      SELECT doc_id AS node, doc_id AS root FROM n
+      UNION
+      SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node WHERE reach.root < links.b)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id,
+           d.doc_id = coalesce(r.root, d.doc_id) AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = d.doc_id
+""")
 def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@register("op8_warc")
+@register("op8_warc", r"""
+    WITH p AS (
+      SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+    digit AS (
+      SELECT page_id, octet_length(body) AS n, hex, max(page_id) OVER (PARTITION BY hex) AS last,
+             list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               CAST((CAST('0x' || substr(hex, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS BIGINT) + 1, 1)) AS letters
+      FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, array_to_string(letters, '') AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM digit
+""")
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), target)
@@ -174,7 +207,35 @@ def line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lines.n_lines", "lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-@register("op5_suffix_dedup")
+@register("op5_suffix_dedup", r"""
+    WITH d AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    block AS (
+      SELECT doc_id, base, substr(h, 2 * base + 1, 2 * (512 + 49)) AS part
+      FROM d, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 49, 512)) AS b(base)),
+    win AS (
+      SELECT doc_id, base + j AS i, hash(substr(part, 2 * j + 1, 100)) AS k1, md5_number_lower(substr(part, 2 * j + 1, 100)) AS k2
+      FROM block, unnest(range(0, least(512, CAST(length(part) / 2 AS BIGINT) - 49))) AS w(j)),
+    low AS (SELECT k1, k2, min(doc_id) AS first_doc FROM win GROUP BY k1, k2 HAVING min(doc_id) < max(doc_id)),
+    hit AS (
+      SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+      FROM win JOIN low USING (k1, k2) WHERE doc_id > first_doc),
+    runs AS (
+      SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END)
+               OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+    spans AS (SELECT doc_id, min(i) AS s, max(i) + 50 AS e FROM runs GROUP BY doc_id, run),
+    edges AS (
+      SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS kept_from,
+             lead(s) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM spans),
+    parts AS (
+      SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+             string_agg(substr(h, 2 * kept_from + 1, 2 * (s - kept_from)), '' ORDER BY s) AS head
+      FROM edges JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+           sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN parts USING (doc_id)
+""")
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.find_repeats(table(spark, sf_dir, "documents"))
     return repeats.remove_repeats(found).select(

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import Row
@@ -106,6 +107,20 @@ def test_bpe_repeated_long_rows(spark):
         str(Row(doc_id=i, n_tokens=len(x), ids=x)) for i, x in ((i, enc.encode_ordinary(t)) for i, t in rows))
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    got = queries.QUERIES[name](spark, folder)
+    assert sorted(got.columns) == sorted(columns)
+    rows = [tuple(r) for r in got.select(columns).collect()]
+    assert sorted(rows, key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_url_rules(spark):
     rules = queries.RULES + [("block", "deep.a.example.com", "/en/x/"), ("allow", "org", "")]
     urls = ["http://Example.COM/en/1", "https://www.example.com/en/?q#f", "http://a.b.net/es/x", "http://net/fr/",
