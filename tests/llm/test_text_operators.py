@@ -11,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -458,6 +459,40 @@ def test_quality_rules(spark, docs, texts, none):
     assert by_id(quality.quality_rules(df, labels.limit(0)).select("doc_id", "rules.*"))[300].kept
 
 
+def plain_quality(docs, labels, buckets=1 << 13, keep_good=0.998):
+    """{doc_id: (score, kept by score)}, text by text."""
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in SPACED.findall(text or "")]
+        eight = [x.to_bytes(8, "little") for x in h]
+        pairs = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in zip(eight, eight[1:])]
+        return [x % buckets for x in h + pairs]
+
+    feats = [(i, grams(t)) for i, t in docs]
+    raw = Counter(x for _, f in feats for x in f)
+    target = Counter(x for i, f in feats if labels.get(i) == 1 for x in f)
+    n, m = sum(raw.values()) + buckets / 2, sum(target.values()) + buckets / 2
+    weight = [math.log((target[b] + 0.5) / m) - math.log((raw[b] + 0.5) / n) for b in range(buckets)]
+    scores = {i: math.fsum(weight[x] for x in f) / len(f) if f else None for i, f in feats}
+    good, bad = ([scores[i] for i, _ in docs if labels.get(i) == k and scores[i] is not None] for k in (1, 0))
+    low, top = np.percentile(good, 100 * (1 - keep_good)), max(bad)
+    least = (low + top) / 2 if top < low else low
+    return {i: (x, x is not None and x >= least - 1e-12) for i, x in scores.items()}
+
+
+def test_quality_scores_equal_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    want = plain_quality([(r.doc_id, r.text) for r in docs.collect()],
+                         {r.doc_id: r.quality for r in labels.collect()})
+    got = queries.QUERIES["op10_quality_rules"](spark, folder).collect()
+    assert len(got) == len(want)
+    for r in got:
+        score, keeps = want[r.doc_id]
+        assert r.score == pytest.approx(score, abs=1e-9) and r.kept == (keeps and not r.base_failed), r.doc_id
+    assert {r.kept for r in got} == {True, False}
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path, docs):
     import corpus_pipeline
 
