@@ -251,7 +251,9 @@ def test_near_duplicates(spark, docs, texts, none):
     sets = {k: shingles(v) for k, v in (texts | more).items()}
     want = linked(sets, 85)
     # A small node limit branches, depth 2 ends in leaders, few hashes deal by node.
-    for settings in ({}, {"node_limit": 8}, {"node_limit": 8, "max_depth": 2}, {"max_hashes": 100}):
+    # A small hold limit deals nodes to parts.
+    for settings in ({}, {"node_limit": 8}, {"node_limit": 8, "max_depth": 2}, {"max_hashes": 100},
+                     {"node_limit": 8, "hold_limit": 12}):
         got = by_id(near_dedup.near_duplicates(both, **settings).where("doc_id is not null"))
         for k, s in sets.items():
             assert (got[k].n_shingles, got[k].component_id, got[k].kept) == (len(s), want[k], want[k] == k), (k, settings)
@@ -284,6 +286,58 @@ def test_large_nodes_of_near_copies_do_not_branch(spark):
     assert {(q.a, q.b) for q in last} == {(1, 0), (2, 0), (3, 0)}
 
 
+def test_strangers_in_a_large_node_of_near_copies_do_not_make_it_branch(spark):
+    r = np.random.default_rng(3)
+    copies = np.tile(r.integers(0, 60000, 64), (300, 1))
+    for i, x in enumerate(copies):
+        x[r.integers(0, 64, 7)] = 60000 + i
+    strangers = r.integers(0, 60000, (15, 64))
+    label, unmet = near_dedup.similar_groups(np.concatenate((copies, strangers)).astype(np.uint16), 42, 40)
+    assert not len(unmet) and (label[:300] == 0).all() and label[300:].tolist() == list(range(300, 315))
+
+
+@pytest.mark.parametrize("n_strangers", [0, 6, 40])
+def test_hot_nodes_are_settled_in_parts(spark, n_strangers):
+    """More near copies than a task may hold: rows do not grow from level to level while few records are outside the group."""
+    r = np.random.default_rng(4)
+    copies = np.tile(r.integers(0, 60000, 64), (300, 1)).astype(np.uint16)
+    for i, x in enumerate(copies):
+        x[r.integers(0, 64, 5)] = 60000 + i
+    # Like one copy (its 40 shared values and its own ones), but like no leader.
+    place = np.flatnonzero(copies[123] >= 60000)
+    friend = r.integers(0, 60000, 64).astype(np.uint16)
+    same = np.concatenate((place, [i for i in range(64) if i not in place][: 42 - len(place)]))
+    friend[same] = copies[123][same]
+    strangers = r.integers(0, 60000, (n_strangers, 64)).astype(np.uint16)
+    if n_strangers > 1:
+        strangers[1] = strangers[0]
+    both = np.concatenate((copies, [friend], strangers))
+    rows = [(5, 2, i, bytearray(x.tobytes())) for i, x in enumerate(both)]
+    paths = spark.createDataFrame(rows, "node long, depth int, unit long, sketch binary")
+    found = near_dedup.walk_level(paths, 20, 2, 42, hold_limit=100, part_rows=64, n_leaders=16).cache()
+    parts = Counter(x.part for x in found.collect())
+    assert [parts.pop(i) for i in range(len(both) // 64)] == [64] * (len(both) // 64)
+    links, children = near_dedup.settle_hot(found.drop("a", "b"), 20, 42)
+    links, children = links.collect(), children.collect()
+    if n_strangers == 40:
+        assert not links and Counter(x.unit for x in children) == {i: 2 for i in range(len(both))}
+        assert len({(x.node, x.depth) for x in children}) > 2 and {x.depth for x in children} == {3}
+        return
+    assert not children
+    parent = list(range(len(both)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for x in links:
+        parent[max(root(x.a), root(x.b))] = min(root(x.a), root(x.b))
+    want, _ = near_dedup.similar_groups(both, 42)
+    assert [root(i) for i in range(len(both))] == want.tolist() and want[300] == 0
+    assert len({(x.a, x.b) for x in links}) <= len(both)
+
+
 def test_split_keys_keeps_every_pair(spark):
     rows = spark.createDataFrame([(k, u) for k in (1, 2) for u in range(40 * k)], "key long, unit long")
     sizes = spark.createDataFrame([(u, 10) for u in range(80)], "unit long, n long")
