@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 from salesmart.llm.queries import pre_token_pattern, table, tokenizer
-from salesmart.llm.tables import free_name
+from salesmart.llm.tables import bound_batches, free_name
 from salesmart.session import materialize
 
 #: SQL cannot express the hashed, fitted and fuzzy stages.
@@ -50,6 +50,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     done = line_dedup.dedup_lines(docs)
     lines = f"`{free_name(docs, 'lines')}`"
     empty = (F.col(f"{lines}.n_lines") > 0) & (F.col(f"{lines}.n_removed") == F.col(f"{lines}.n_lines"))
@@ -57,12 +58,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     verdicts = near_dedup.near_duplicates(docs, percent=80, trees=8)
     gone = verdicts.where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     others = [c for c in docs.columns if c != "text"]
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "doc_id", "text")
     found = decontaminate.find_contamination(whole, table(spark, sf_dir, "benchmark"), keep=("row", "text"))
@@ -78,6 +81,7 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     ranks, pattern = tokenizer("byte_bpe_50k.tiktoken"), pre_token_pattern()
     # Stored between the two, so that a task runs one Python worker, not two.
     encoded = materialize(bpe.encode(docs, ranks, pattern), "encoded")

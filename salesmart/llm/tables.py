@@ -7,12 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.textops import freed
 from salesmart.session import materialize
 
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns and nothing else, so that further columns of the
@@ -20,6 +22,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def bound_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Python tasks get batches of about ``size`` bytes (one row at least), where
+    the session has no limit of its own: by rows alone, a batch of texts or of
+    packed rows, held by the JVM and the worker, has a size that the data choose."""
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, f"{size}b")
+
+
 def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """``materialize``, then a garbage collection on the driver: Spark's cleaner
     removes the shuffle files of a finished step once the driver's collector

@@ -42,6 +42,7 @@ def freed(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
+            _powers.clear()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim is not None:
