@@ -5,9 +5,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart.config import DEFAULT_COLUMN_MAP, CanonicalizeConfig
+from salesmart.functions.text import PANDAS_NA_TOKENS
 from salesmart.operators.dims import item_attributes
+from salesmart.operators.keys import dense_row_keys
 from salesmart.plans import catalog
 from salesmart.session import SMALL_FUNCTIONS, conf_for
+from salesmart.sources.raw import clean_raw
 from salesmart.sources.tables import item_code
 
 
@@ -53,6 +57,39 @@ def test_items_are_folded_before_their_attributes_are_listed(spark):
     assert "Aggregate" in plan.split("Generate explode")[1]
 
 
+def test_a_category_is_canonicalised_once_per_folded_row(spark):
+    rows = [("I1", 1, "a", c, "v1", n) for n, c in enumerate(["  big box", "BIG BOX", "small", "small"] * 2 + ["Big  Box "])]
+    rows += [("I2", 2, "b", None, "v1", 50), ("I3", 3, "c", " ", "v1", 51)]
+    df = spark.createDataFrame(rows, "item_code string, item_id bigint, item_name string, category string, "
+                               "version string, _seq bigint")
+    # Five texts of one category win over four times another text.
+    out = item_attributes(df)
+    assert {(r.item_code, r.category) for r in out.collect()} == {("I1", "Big Box"), ("I2", None), ("I3", "")}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate explode"):].split("Aggregate", 1)[1]
+    assert "regexp_replace" in plan and "regexp_replace" not in below
+    distinct = item_attributes(df, CanonicalizeConfig(item_attributes="distinct"))
+    assert sorted((r.item_code, r.category) for r in distinct.where("item_id < 2 OR item_id = 3").collect()) == [
+        ("I1", "Big Box"), ("I1", "Small"), ("I3", "")]
+
+
+def test_numbers_need_no_token_list(spark):
+    texts = [(t,) * 17 for t in (*PANDAS_NA_TOKENS, "12")]
+    out = clean_raw(spark.createDataFrame(texts, ", ".join(f"{c} string" for c in DEFAULT_COLUMN_MAP)))
+    left = out.where("item_name IS NOT NULL").collect()
+    assert len(left) == 1 and left[0].final_revenue == 12 and left[0].final_quantity == 12
+    assert out.where("final_revenue IS NOT NULL OR final_quantity IS NOT NULL OR buyer_id IS NOT NULL").count() == 1
+    plan = out.select("final_revenue", "final_quantity")._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" not in plan.upper() and "#N/A" not in plan
+
+
+def test_scratch_tables_are_packed(spark, tables):
+    assert all(".zstd." in f for f in catalog._messy(spark, tables).inputFiles())
+    keyed = dense_row_keys(spark.range(5).withColumn("b", F.col("id") % 2), "k", order_by=["b", "id"])
+    assert [(r.k, r.id) for r in keyed.orderBy("k").collect()] == [(1, 0), (2, 2), (3, 4), (4, 1), (5, 3)]
+    assert all(".zstd." in f for f in keyed.inputFiles() if "row-keys" in f) and keyed.inputFiles()
+
+
 def test_landed_files_are_packed(spark, tables):
     catalog.QUERIES["dry_run_counts"](spark, tables)
     path = catalog.scratch_path(spark, "landed")
