@@ -3,10 +3,13 @@
 import glob
 import os
 import time
+from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.config import DEFAULT_COLUMN_MAP, EtlConfig, SourceConfig
+from salesmart.plans import catalog
 from salesmart.plans.warehouse import read_warehouse, run_pipeline
 from salesmart.session import checkpoint_dir, conf_for, scratch_dropped, scratch_path
 from salesmart.sources.raw import load_raw_data
@@ -122,3 +125,26 @@ def test_the_lookup_shuffles_the_facts_columns_only(spark, tmp_path, monkeypatch
     monkeypatch.setattr(warehouse, "lookup_keys", lookup)
     _load(spark, _file(spark, str(tmp_path / "raw"), [{}, {"transaction_id": ""}]), str(tmp_path / "out"))
     assert len(carried) == 1 and not {"item_name", "category", "version", "item_id"} & set(carried[0])
+
+
+def test_landed_files_go_when_their_loads_are_done(spark, tmp_path):
+    d = str(tmp_path / "tables")
+    spark.createDataFrame([(k, f"name {k}", "BIG", k) for k in range(5)],
+                          "p_partkey bigint, p_name string, p_type string, p_size int").write.parquet(f"{d}/part.parquet")
+    spark.createDataFrame([(k, k % 7, datetime(1998, 1, 1 + k % 20)) for k in range(40)],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(f"{d}/orders.parquet")
+    lines = [(k, k % 5, 4, 5.0, 100.0 + k, 0.1, 0.05, "N") for k in range(40) if (k * 31 + 28) % 1000 > 11]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
+                          ).write.parquet(f"{d}/lineitem.parquet")
+    rows = catalog.QUERIES["pipeline_two_loads"](spark, d)
+    top = os.path.dirname(catalog._landed_loads(spark, d)[1].removeprefix("file:"))
+    assert not glob.glob(f"{top}/raw/file=*")
+    for name in ("a", "b"):
+        for kept in ("orders_cleaned", "validated_fact_data", "dim_item", "new_dim_item", "fact_orphans"):
+            assert os.path.isdir(f"{top}/runs/{name}/processed/{kept}")
+    got = sorted((r.transaction_id, r.item_code, r.buyer_id, r.full_date, r.total_revenue) for r in rows.collect())
+    assert got == sorted((k, f"I{k % 5:06d}", k % 7, date(1998, 1, 1 + k % 20), 100.0 + k) for k, *_ in lines)
+    keys = catalog.QUERIES["fact_keys_two_loads"](spark, d).orderBy("fact_key")
+    late = [r.transaction_id % 2 for r in keys.collect()]
+    assert late == sorted(late) and keys.agg(F.max("fact_key")).first()[0] == len(lines)
